@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from ..plans.hot_queries import sql_squeezed
 from ..workspace import table
 from . import components as _components
+from . import language as _language
+from . import leaks as _leaks
+from . import packing as _packing
 from . import survivors as _survivors
 
 
@@ -22,7 +25,27 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return _components.components(_components.matching(table(spark, d, "match_pairs"), table(spark, d, "vf3_records")))
 
 
-QUERIES = {"p1_found": p1_found, "p1_survivors": p1_survivors, "p2_found": p2_found}
+def p6_packed(spark: SparkSession, d: str) -> DataFrame:
+    return _packing.packed(table(spark, d, "documents"))
+
+
+def p7_spans(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return p7_spans(spark, d).select("doc_id", "item_id")
+
+
+def p8_passages(spark: SparkSession, d: str) -> DataFrame:
+    return _language.passages(table(spark, d, "documents"), _language.fitted(table(spark, d, "lang_samples")))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return _language.mislabelled(table(spark, d, "documents"), _language.fitted(table(spark, d, "lang_samples")))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p2_found, p6_packed, p7_found, p7_spans, p8_found, p8_passages)}
 
 def _in(values) -> str:
     return "(" + ", ".join(f"'{x}'" for x in values) + ")"
