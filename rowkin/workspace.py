@@ -58,21 +58,33 @@ def small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def lookup(rows: DataFrame, key: str, side: DataFrame, side_key: str, how: str = "left", heavy: int = 1000) -> DataFrame:
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` over as many tasks as there are cores, where a scan of few splits would leave cores idle in costly Python
+    work; larger inputs are not moved."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores else df.repartition(2 * cores, key)
+
+
+HEAVY = 1000
+LIGHT = 20_000  # a key of so few rows burdens no task
+
+
+def heavy_keys(rows: DataFrame, key: str, total: int) -> list:
+    """Keys with more than LIGHT and one in HEAVY of ``total`` rows: fewer than HEAVY of them, so they fit the driver."""
+    if total <= LIGHT:
+        return []
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return [r[0] for r in counts.where(F.col("_n") > max(LIGHT, total // HEAVY)).collect()]
+
+
+def lookup(rows: DataFrame, key: str, side: DataFrame, side_key: str, how: str = "left", heavy: list | None = None) -> DataFrame:
     """Join ``rows`` to ``side``, which has one row per ``side_key``, without a hot key in one task.
 
-    A key with more than one in ``heavy`` of all rows is heavy; there are fewer than ``heavy`` of
-    these, so their side rows are broadcast (a proven bound). All other keys take a shuffle join.
-    Null keys match nothing. ``side`` must not share column names with ``rows``.
+    Rows of the ``heavy`` keys (see :func:`heavy_keys`) meet their side rows, fewer than HEAVY, in a broadcast join; all
+    others take the join that Spark picks.  Null keys match nothing.  ``side`` must not share column names with ``rows``.
     """
-    if how not in ("left", "inner"):
-        raise ValueError(how)
-    counts = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_t"))
-    hot = counts.crossJoin(F.broadcast(total)).where(F.col("_n") * heavy > F.col("_t")).select("_k")
-    hot_side = side.join(F.broadcast(hot), F.col(side_key) == F.col("_k"), "inner").drop("_k").withColumn("_hit", F.lit(True))
-    names = [c for c in side.columns]
-    first = rows.join(F.broadcast(hot_side), F.col(key) == F.col(side_key), "left")
-    done = first.where(F.col("_hit")).drop("_hit")
-    rest = first.where(F.col("_hit").isNull()).drop("_hit", *names).join(side, F.col(key) == F.col(side_key), how)
-    return done.unionByName(rest)
+    if not heavy:
+        return rows.join(side, F.col(key) == F.col(side_key), how)
+    hot = rows.where(F.col(key).isin(heavy)).join(F.broadcast(side.where(F.col(side_key).isin(heavy))), F.col(key) == F.col(side_key), how)
+    cold = rows.where(F.col(key).isNull() | ~F.col(key).isin(heavy)).join(side, F.col(key) == F.col(side_key), how)
+    return hot.unionByName(cold)
