@@ -8,7 +8,8 @@ smallest id of a whole group is selected back by its own choice in every round,
 label is the group's smallest id.
 
 Every round's tables are written to the shared folder, so lineage stays short and a lost executor costs one round
-at most.  Labels that many rows point to are joined through ``lookup`` (broadcast of fewer than 1,000 rows).
+at most.  Labels that many rows point to are found before each join and meet their rows in a broadcast join (fewer than 1,000
+labels, a proven bound).
 """
 
 from __future__ import annotations
@@ -16,30 +17,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..workspace import dropped, lookup, written
+from ..workspace import dropped, heavy_keys, lookup, written
 
 
 def _edges(pairs: DataFrame, a: str, b: str) -> DataFrame:
     return pairs.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).distinct()
 
 
-def _roots(edges: DataFrame) -> tuple[DataFrame, int]:
-    """(v, p): each component with the root of its tree; the number of doubling steps."""
-    both = edges.select(F.col("lo").alias("v"), F.col("hi").alias("n")).unionByName(edges.select(F.col("hi").alias("v"), F.col("lo").alias("n")))
-    pick = written(both.groupBy("v").agg(F.min("n").alias("p")), "pick")
-    # of two that select each other the smaller is the root
-    back = lookup(pick, "p", pick.select(F.col("v").alias("v2"), F.col("p").alias("pp")), "v2")
-    parent = written(back.select("v", F.when((F.col("pp") == F.col("v")) & (F.col("v") < F.col("p")), F.col("v")).otherwise(F.col("p")).alias("p")), "parent")
-    dropped(pick)
-    steps = 0
-    while True:
-        far = lookup(parent, "p", parent.select(F.col("v").alias("v2"), F.col("p").alias("pp")), "v2")
-        new = written(far.select("v", F.col("pp").alias("p"), (F.col("pp") != F.col("p")).alias("moved")), "parent")
-        moved = new.where("moved").limit(1).count()
+def _side(parents: DataFrame) -> DataFrame:
+    return parents.select(F.col("v").alias("v2"), F.col("p").alias("p2"))
+
+
+def _roots(edges: DataFrame) -> DataFrame:
+    """(v, p): each component with the root of its tree."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("lo").alias("v"), F.col("hi").alias("n")), F.struct(F.col("hi").alias("v"), F.col("lo").alias("n")))).alias("e"))
+    parent = written(ends.select("e.v", "e.n").groupBy("v").agg(F.min("n").alias("p")), "pick")
+    total = parent.count()
+    moved, first = True, True
+    while moved:
+        far = lookup(parent, "p", _side(parent), "v2", heavy=heavy_keys(parent, "p", total))
+        if first:  # of two that select each other the smaller becomes the root
+            to = F.when((F.col("p2") == F.col("v")) & (F.col("v") < F.col("p")), F.col("v")).otherwise(F.col("p"))
+        else:
+            to = F.col("p2")
+        new = written(far.select("v", to.alias("p"), (to != F.col("p")).alias("moved")), "parent")
+        moved = first or not new.where("moved").isEmpty()
         dropped(parent)
-        parent, steps = new, steps + 1
-        if not moved:
-            return parent.select("v", "p"), steps
+        parent, first = new, False
+    return parent.select("v", "p")
 
 
 def components(pairs: DataFrame, a: str = "rec_a", b: str = "rec_b") -> DataFrame:
@@ -49,11 +54,11 @@ def components(pairs: DataFrame, a: str = "rec_a", b: str = "rec_b") -> DataFram
     """
     edges = written(_edges(pairs, a, b), "edges")
     maps: list[DataFrame] = []
-    while not edges.isEmpty():
-        roots, _ = _roots(edges)
+    while total := edges.count():
+        roots = _roots(edges)
         maps.append(roots)
-        half = lookup(edges, "lo", roots.select(F.col("v").alias("v1"), F.col("p").alias("p1")), "v1", "inner").select("p1", "hi")
-        full = lookup(half, "hi", roots.select(F.col("v").alias("v2"), F.col("p").alias("p2")), "v2", "inner").select("p1", "p2")
+        half = lookup(edges, "lo", _side(roots), "v2", "inner", heavy_keys(edges, "lo", total)).select(F.col("p2").alias("p1"), "hi")
+        full = lookup(half, "hi", _side(roots), "v2", "inner", heavy_keys(edges, "hi", total))
         new = written(_edges(full, "p1", "p2"), "edges")
         dropped(edges)
         edges = new
@@ -62,8 +67,7 @@ def components(pairs: DataFrame, a: str = "rec_a", b: str = "rec_b") -> DataFram
     # later rounds know only roots of earlier ones: compose from the last, smallest map back to the first
     out = maps[-1]
     for earlier in reversed(maps[:-1]):
-        later = out.select(F.col("v").alias("v2"), F.col("p").alias("pp"))
-        out = lookup(earlier, "p", later, "v2").select("v", F.coalesce("pp", "p").alias("p"))
+        out = earlier.join(_side(out), F.col("p") == F.col("v2"), "left").select("v", F.coalesce("p2", "p").alias("p"))
     return out.select(F.col("v").alias("rec_id"), F.col("p").alias("group_id"))
 
 
@@ -74,8 +78,9 @@ MATCHES = ("match", "matched", "matches", "ismatch", "samematch", "matching")
 def matching(pairs: DataFrame, records: DataFrame) -> DataFrame:
     """Pairs whose verdict says match in any notation and both of whose records exist."""
     said = F.regexp_replace(F.lower(F.col("verdict")), r"[^\p{L}]", "")
-    known = records.select("rec_id").distinct()
     out = pairs.where(said.isin(*MATCHES) & (F.col("rec_a") != F.col("rec_b"))).select("rec_a", "rec_b")
+    known = records.select(F.col("rec_id").alias("_known"))
+    total = out.count()
     for side in ("rec_a", "rec_b"):
-        out = lookup(out, side, known.select(F.col("rec_id").alias("_known")), "_known", "inner").drop("_known")
+        out = lookup(out, side, known, "_known", "left_semi", heavy_keys(out, side, total))
     return out
