@@ -16,6 +16,8 @@ from functools import lru_cache
 import numpy as np
 import xxhash
 
+from ..workspace import spread
+
 BUCKETS = 1 << 15
 DIM = 24
 MAX_SAMPLES = 5000
@@ -214,7 +216,7 @@ def passages(docs, model: Model):
             yield pd.DataFrame(rows, columns=["doc_id", "passage", "lang", "confidence", "n_words", "first_char", "last_char"])
 
     schema = "doc_id long, passage int, lang string, confidence double, n_words int, first_char int, last_char int"
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    return spread(docs.select("doc_id", "text"), "doc_id").mapInPandas(run, schema)
 
 
 def mislabelled(docs, model: Model, min_words: int = MIN_WORDS):

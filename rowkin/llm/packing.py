@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..workspace import written
+from ..workspace import spread, written
 
 CAPACITY = 2048
 TOKENIZERS = "/opt/tokenizers"
@@ -59,7 +59,7 @@ def token_counts(docs: DataFrame, folder: str = TOKENIZERS, name: str = VOCABULA
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": [len(encode(t)) if isinstance(t, str) and t else 0 for t in pdf["text"]]})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n_tokens long")
+    return spread(docs.select("doc_id", "text"), "doc_id").mapInPandas(run, "doc_id long, n_tokens long")
 
 
 def sweep(sizes: dict[int, int], capacity: int) -> tuple[np.ndarray, int]:

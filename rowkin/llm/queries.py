@@ -9,7 +9,9 @@ from ..workspace import table
 from . import components as _components
 from . import language as _language
 from . import leaks as _leaks
+from . import names as _names
 from . import packing as _packing
+from . import places as _places
 from . import survivors as _survivors
 
 
@@ -25,6 +27,22 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return _components.components(_components.matching(table(spark, d, "match_pairs"), table(spark, d, "vf3_records")))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return _names.variant_pairs(table(spark, d, "old_records"), table(spark, d, "name_forms"))
+
+
+def p3_persons(spark: SparkSession, d: str) -> DataFrame:
+    return _names.persons(table(spark, d, "old_records"), table(spark, d, "name_forms"))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return _places.variant_addresses(table(spark, d, "old_records"))
+
+
+def p4_places(spark: SparkSession, d: str) -> DataFrame:
+    return _places.same_places(table(spark, d, "old_records"))
+
+
 def p6_packed(spark: SparkSession, d: str) -> DataFrame:
     return _packing.packed(table(spark, d, "documents"))
 
@@ -45,7 +63,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return _language.mislabelled(table(spark, d, "documents"), _language.fitted(table(spark, d, "lang_samples")))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p2_found, p6_packed, p7_found, p7_spans, p8_found, p8_passages)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p2_found, p3_found, p3_persons, p4_found, p4_places, p6_packed, p7_found, p7_spans, p8_found, p8_passages)}
 
 def _in(values) -> str:
     return "(" + ", ".join(f"'{x}'" for x in values) + ")"
