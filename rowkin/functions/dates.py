@@ -33,33 +33,44 @@ def _date(text: Column) -> Column:
     return out
 
 
+def parsed_date(c: Column | str) -> Column:
+    """The date of a cell; the cleaned text is bound once by a one-element transform, however often the notations read it."""
+    return F.get(F.transform(F.array(squeezed(c)), _date), 0)
+
+
 def with_date(df: DataFrame, source: str, out: str) -> DataFrame:
-    """``df`` with the date of cell ``source`` as ``out``; staged, so that the cell is cleaned once a row."""
-    return df.withColumn("_t", squeezed(source)).withColumn(out, _date(F.col("_t"))).drop("_t")
+    return df.withColumn(out, parsed_date(source))
 
 
-def dob_key(date: Column | str, floor: bool = True) -> Column:
-    """'YYYYMMDD' of a date, or '' if null or (``floor``) of a year up to 1900."""
-    date = col(date)
+def _key(date: Column, floor: bool) -> Column:
     ok = date.isNotNull() & (F.year(date) > YEAR_FLOOR) if floor else date.isNotNull()
     return F.when(ok, F.date_format(date, "yyyyMMdd")).otherwise(F.lit(""))
 
 
+def dob_key(c: Column | str, floor: bool = True) -> Column:
+    """'YYYYMMDD' of a cell, or '' if blank, unparseable or (``floor``) of a year up to 1900."""
+    return F.get(F.transform(F.array(parsed_date(c)), lambda d: _key(d, floor)), 0)
+
+
 def with_dob(df: DataFrame, source: str, out: str, floor: bool = True) -> DataFrame:
-    return with_date(df, source, "_d").withColumn(out, dob_key("_d", floor)).drop("_d")
-
-
-def dob_issue(text: Column | str, date: Column | str) -> Column:
-    """Why a filled cell (squeezed ``text``, parsed ``date``) gives no key, else ''."""
-    text, date = col(text), col(date)
-    low = date.isNotNull() & (F.year(date) <= YEAR_FLOOR)
-    return (
-        F.when(F.lower(text).isin("", "nan", "none", "null"), F.lit(""))
-        .when(low & text.rlike(SERIAL), F.lit("serial number of a day up to 1900"))
-        .when(low, F.lit("year up to 1900"))
-        .when(date.isNull(), F.lit("not a date"))
-        .otherwise(F.lit(""))
-    )
+    return df.withColumn(out, dob_key(source, floor))
+
+
+def dob_issue(c: Column | str) -> Column:
+    """Why a filled cell gives no key, else ''."""
+
+    def why(x: Column) -> Column:
+        text, date = x["t"], x["d"]
+        low = date.isNotNull() & (F.year(date) <= YEAR_FLOOR)
+        return (
+            F.when(F.lower(text).isin("", "nan", "none", "null"), F.lit(""))
+            .when(low & text.rlike(SERIAL), F.lit("serial number of a day up to 1900"))
+            .when(low, F.lit("year up to 1900"))
+            .when(date.isNull(), F.lit("not a date"))
+            .otherwise(F.lit(""))
+        )
+
+    return F.get(F.transform(F.array(F.struct(squeezed(c).alias("t"), parsed_date(c).alias("d"))), why), 0)
 
 
 def shown(key: Column | str) -> Column:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # Code points that are shown as nothing or as a blank.
 BLANKS = r"\s\x{00A0}\x{00AD}\x{1680}\x{2000}-\x{200D}\x{2028}\x{2029}\x{202F}\x{205F}\x{2060}\x{3000}\x{FEFF}"
 
+WHITE = r"\s\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+
 # Name cells that only say that no name is known (letters and digits, upper case).
 NAME_PLACEHOLDERS = (
     "UNKNOWN", "UNK", "UNKN", "NA", "NONE", "NULL", "NIL", "XXX", "XX", "X", "NMN", "NONAME", "NOTGIVEN", "NOTPROVIDED",
@@ -28,6 +30,11 @@ def squeezed(c: Column | str) -> Column:
     return F.coalesce(F.trim(F.regexp_replace(col(c), f"[{BLANKS}]+", " ")), F.lit(""))
 
 
+def stripped(c: Column | str) -> Column:
+    """The cell without outer white space (also unusual white space); null becomes ''."""
+    return F.coalesce(F.regexp_replace(col(c), f"^[{WHITE}]+|[{WHITE}]+$", ""), F.lit(""))
+
+
 def norm_text(c: Column | str) -> Column:
     """Upper case of the squeezed cell; 'nan', 'none' and 'null' are blank.
 
