@@ -199,7 +199,7 @@ def passages(docs, model: Model):
     """(doc_id, passage, lang, confidence, n_words, first_char, last_char) of every passage with a language.
 
     Each document gives one row per stretch of words of one language, in order; names before numbers, numbers, links and markup
-    are left out.  Null or empty texts and texts without words give no row; a passage whose calibrated confidence is
+    are left out.  Null ids, null or empty texts and texts without words give no row; a passage whose calibrated confidence is
     under ``REJECT`` has lang null.  Places are code points of the text without markup.  Other columns are ignored.
     """
     import pandas as pd
@@ -216,7 +216,7 @@ def passages(docs, model: Model):
             yield pd.DataFrame(rows, columns=["doc_id", "passage", "lang", "confidence", "n_words", "first_char", "last_char"])
 
     schema = "doc_id long, passage int, lang string, confidence double, n_words int, first_char int, last_char int"
-    return spread(docs.select("doc_id", "text"), "doc_id").mapInPandas(run, schema)
+    return spread(docs.where("doc_id is not null").select("doc_id", "text"), "doc_id").mapInPandas(run, schema)
 
 
 def mislabelled(docs, model: Model, min_words: int = MIN_WORDS):

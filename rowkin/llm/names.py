@@ -177,7 +177,7 @@ def linked_records(rows: DataFrame, forms: DataFrame) -> tuple[DataFrame, DataFr
             got = [(r["rec_id"], coded(p)) for r in pdf.to_dict("records") if any((p := person(r)).name[:3])]
             yield pd.DataFrame(got, columns=["rec_id", "code"])
 
-    slim = with_dob(rows.select("rec_id", "full_date_of_birth", *CELLS), "full_date_of_birth", "dob").drop("full_date_of_birth")
+    slim = with_dob(rows.where(F.col("rec_id").isNotNull()).select("rec_id", "full_date_of_birth", *CELLS), "full_date_of_birth", "dob").drop("full_date_of_birth")
     people = written(spread(slim, "rec_id").mapInPandas(read, "rec_id long, code string"), "people")
     records = written(people.groupBy("code").agg(F.min("rec_id").alias("rec")), "records")
 
@@ -195,9 +195,14 @@ def linked_records(rows: DataFrame, forms: DataFrame) -> tuple[DataFrame, DataFr
     shared = told.select(F.explode("values").alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("value")
     per_value = told.select("rec", "words", F.explode("values").alias("value")).join(shared, "value", "left_semi")
     each = written(per_value.select("rec", F.explode("words").alias("word"), "value"), "each")
-    left = each.join(near, "word").select(F.col("rec").alias("rec_a"), F.xxhash64("near", "value").alias("k"))
-    right = each.select(F.col("rec").alias("rec_b"), F.xxhash64("word", "value").alias("k"))
-    pairs = left.join(right, "k").where(F.col("rec_a") < F.col("rec_b")).select("rec_a", "rec_b").distinct()
+    # a pair of words is followed from the rarer one only: a frequent name has hundreds of misspellings, each on few rows
+    often = each.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    near = near.join(often, "word").join(often.select(F.col("word").alias("near"), F.col("n").alias("m")), "near")
+    near = near.where((F.col("n") < F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("word") <= F.col("near")))).select("word", "near")
+    left = each.join(near, "word").select(F.col("rec").alias("a"), F.xxhash64("near", "value").alias("k"))
+    right = each.select(F.col("rec").alias("b"), F.xxhash64("word", "value").alias("k"))
+    met = left.join(right, "k").where(F.col("a") != F.col("b"))
+    pairs = met.select(F.least("a", "b").alias("rec_a"), F.greatest("a", "b").alias("rec_b")).distinct()
 
     def check(batches):
         seen: dict[str, Person] = {}
@@ -238,7 +243,7 @@ NAME_CELLS = ["first_name", "middle_name", "last_name"]
 def variant_pairs(rows: DataFrame, forms: DataFrame) -> DataFrame:
     """(rec_a, rec_b), rec_a < rec_b: rows of one person whose name cells are not all written exactly alike.
 
-    Null is ''; rows without a real name are no case; repeated rows (alike but for rec_id) pair with every other spelling;
+    Null is ''; rows without a real name or rec_id are no case; repeated rows (alike but for rec_id) pair with every other spelling;
     very long cells are read whole; empty tables give no row; other columns are ignored.
     """
     named = persons(rows, forms).join(rows.select("rec_id", *NAME_CELLS), "rec_id")

@@ -59,7 +59,7 @@ def token_counts(docs: DataFrame, folder: str = TOKENIZERS, name: str = VOCABULA
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": [len(encode(t)) if isinstance(t, str) and t else 0 for t in pdf["text"]]})
 
-    return spread(docs.select("doc_id", "text"), "doc_id").mapInPandas(run, "doc_id long, n_tokens long")
+    return spread(docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text"), "doc_id").mapInPandas(run, "doc_id long, n_tokens long")
 
 
 def sweep(sizes: dict[int, int], capacity: int) -> tuple[np.ndarray, int]:
@@ -106,7 +106,7 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, folder: str = TOKENIZERS,
     """(doc_id, piece, first_token, n_tokens, container_id): where each post, or piece of one longer than ``capacity``, goes.
 
     Null and empty texts have no tokens: they take no space and are spread over the containers by rank.  Repeated rows
-    are packed each; ties of size go by doc_id; an empty table gives no row; other columns are ignored.
+    are packed each; ties of size go by doc_id; a null doc_id or an empty table gives no row; other columns are ignored.
     """
     spark = docs.sparkSession
     pieces = token_counts(docs, folder, name).select(

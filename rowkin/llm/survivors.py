@@ -32,7 +32,7 @@ SUFFIXES = {
 
 # A unit of a building; what is left must hold a house number and a street word.
 UNIT = r"(?:\b(?:APARTMENT|APT|UNIT|SUITE|STE|ROOM|RM|FLOOR|FL|LOT)\b\.?\s*#?\s*[A-Z0-9-]+|#\s*[A-Z0-9-]+)"
-HOUSE = r"(?:^|[ ,])[0-9]+(?:-[0-9]+)?[A-Z]?(?:[ ,]|$)"
+HOUSE = r"(?:^|[ ,])(?:[A-Z0-9]+-)?[0-9]+[A-Z]?(?:[ ,]|$)"
 STREET = r"(?:^|[ ,])(?:[0-9]+(?:ST|ND|RD|TH)|[^ ,0-9]{3,})(?:[ ,.]|$)"
 
 
@@ -117,7 +117,7 @@ def field_survivors(groups: DataFrame, records: DataFrame) -> DataFrame:
 def survivors(groups: DataFrame, records: DataFrame, fields: list[str] | None = None) -> DataFrame:
     """One record per group: the most complete one, then the latest, then the smallest rec_id, with the surviving
     values of FIELDS in place of its own ('' where no member has one)."""
-    fields = fields or [c for c in records.columns if c not in ("rec_id", "received_at", "group_key")]
+    fields = fields or [c for c, kind in records.dtypes if kind == "string"]
     filled = sum((F.when(squeezed(c) != "", 1).otherwise(0) for c in fields), F.lit(0))
     scored = records.select("rec_id", "received_at", filled.alias("n_filled"))
     base = ranked_first(
