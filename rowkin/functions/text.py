@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -127,7 +128,6 @@ def prefix_compatible(a: Column, b: Column) -> Column:
 
 def nfkc(c: Column | str) -> Column:
     """NFKC through Arrow batches; for cells outside ASCII, where compatibility forms may occur."""
-    import pandas as pd
 
     @F.pandas_udf("string")
     def fold(s: pd.Series) -> pd.Series:

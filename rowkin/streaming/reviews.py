@@ -21,5 +21,6 @@ def arrivals(rows: DataFrame, late: str = "1 day", width: str = "1 day") -> Data
     from ..functions import text
 
     bad = (text.ssn_issue("social_security_number") != "").cast("long")
+    rows = rows.withColumn("received_at", F.col("received_at").cast("timestamp"))
     out = rows.withWatermark("received_at", late).groupBy(F.window("received_at", width)).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(bad).alias("n_junk_ssn"))
     return out.select(F.col("window.start").alias("start"), "n_rows", "n_junk_ssn")
