@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, street, text
+from ..workspace import written
+from .labels import linked_labels
 
 IDS = {3: "employee_identification_number", 4: "drivers_license_number", 5: "passport_number", 6: "phone_number", 7: "email_address_personal"}
 BRIDGE = (3, 4, 5, 7)
@@ -54,17 +59,8 @@ def keys(level: int) -> Column:
     return F.when(named, F.filter(F.array(*cells), lambda x: x.isNotNull())).otherwise(none)
 
 
-def links(rows: DataFrame, level: int) -> DataFrame:
-    """(idx, n_links): for every row the number of rows that the level matches with it, if any.
-
-    Rows alike in all that the level reads are one class; classes are compared, not rows.  At level 8, where a bucket may
-    be a whole city, the first name is part of the join key too: one of two compatible names is a prefix of the other, so
-    the longer name's prefixes meet the shorter name, and a frequent city makes no large bucket.
-    """
-    used = ["ssn", "dob", *NAME, *(PLACE if level == 8 else [])]
-    rows = rows.select("idx", *used, keys(level).alias("keys")).where(F.size("keys") > 0)
-    same = [*used, "keys"]
-    classes = rows.groupBy(*same).agg(F.count(F.lit(1)).alias("n"), F.min("idx").alias("c"))
+def _matched(classes: DataFrame, used: list[str], level: int) -> DataFrame:
+    """(c_a, c_b, n_a, n_b): classes that the level matches; at level 8 in one direction only, else in both."""
     side = lambda s: classes.select(F.explode("keys").alias("key"), F.col("c").alias(f"c{s}"), F.col("n").alias(f"n{s}"), *[F.col(x).alias(x + s) for x in used])
     a, b = side("_a"), side("_b")
     if level == 8:
@@ -83,7 +79,21 @@ def links(rows: DataFrame, level: int) -> DataFrame:
         for c in ("city_n", "state_n", "zip5", "province_n"):
             real = real | (both(c) & (F.col(f"{c}_a") == F.col(f"{c}_b")))
         bad = bad | ~real
-    found = met.where(~bad).select("c_a", "c_b", "n_a", "n_b").distinct()
+    return met.where(~bad).select("c_a", "c_b", "n_a", "n_b").distinct()
+
+
+def links(rows: DataFrame, level: int) -> DataFrame:
+    """(idx, n_links): for every row the number of rows that the level matches with it, if any.
+
+    Rows alike in all that the level reads are one class; classes are compared, not rows.  At level 8, where a bucket may
+    be a whole city, the first name is part of the join key too: one of two compatible names is a prefix of the other, so
+    the longer name's prefixes meet the shorter name, and a frequent city makes no large bucket.
+    """
+    used = ["ssn", "dob", *NAME, *(PLACE if level == 8 else [])]
+    rows = rows.select("idx", *used, keys(level).alias("keys")).where(F.size("keys") > 0)
+    same = [*used, "keys"]
+    classes = rows.groupBy(*same).agg(F.count(F.lit(1)).alias("n"), F.min("idx").alias("c"))
+    found = _matched(classes, used, level)
     if level == 8:
         turned = found.select(F.col("c_b").alias("c_a"), F.col("c_a").alias("c_b"), F.col("n_b").alias("n_a"), F.col("n_a").alias("n_b"))
         found = found.union(turned).distinct()
@@ -92,6 +102,91 @@ def links(rows: DataFrame, level: int) -> DataFrame:
     return own.join(counted, "c").select("idx", (F.col("links") - 1).alias("n_links")).where("n_links > 0")
 
 
+PLACE_SETS = ["base", "city_n", "state_n", "zip5", "province_n"]
+
+
+def guarded(rows: list[tuple[int, int]], facts: dict[int, dict], near: dict[int, dict[int, set[int]]]) -> dict[int, int]:
+    """Root of every row of one block of work.
+
+    ``rows``: (idx, class).  ``facts``: class -> ssn, dob and place fields.  ``near``: level -> class -> classes that it
+    matches.  Pairs come in ascending order within a level; two groups formed at earlier levels stay apart, as do groups of
+    different numbers or dates, and at level 8 groups with nothing in common in a place field that both know.
+    """
+    parent = {i: i for i, _ in rows}
+    own = {i: {k: {v} if v else set() for k, v in facts[c].items()} for i, c in rows}
+    members, locked = defaultdict(list), set()
+    for i, c in sorted(rows):
+        members[c].append(i)
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for level in sorted(near):
+        touched = set()
+        for i, c in sorted(rows):
+            for j in sorted(j for other in near[level].get(c, ()) for j in members[other] if j > i):
+                x, y = find(i), find(j)
+                guards = ["ssn", "dob", *(PLACE_SETS if level == 8 else [])]
+                if x == y or (x in locked and y in locked) or any(own[x][k] and own[y][k] and not own[x][k] & own[y][k] for k in guards):
+                    continue
+                lo, hi = min(x, y), max(x, y)
+                parent[hi] = lo
+                own[lo] = {k: own[lo][k] | own[hi][k] for k in own[lo]}
+                if hi in locked:
+                    locked.add(lo)
+                touched.add(lo)
+        locked |= {find(x) for x in touched}
+    return {i: find(i) for i, _ in rows}
+
+
+def clusters(rows: DataFrame) -> DataFrame:
+    """(idx, root) of every row under all eight levels.
+
+    Matched classes of like rows are labelled by what they are linked with; nothing beyond a label can ever unite, so
+    each label is one block of work.
+    """
+    used = ["ssn", "dob", *NAME, *PLACE]
+    ids = [f"ids{n}" for n in IDS]
+    code = written(rows.select("idx", *used, *ids), "legacy-rows")
+    classes = written(code.groupBy(*used, *ids).agg(F.count(F.lit(1)).alias("n"), F.min("idx").alias("c")), "legacy-classes")
+    found = None
+    for level in range(1, 9):
+        keyed = classes.withColumn("keys", keys(level)).where(F.size("keys") > 0)
+        pairs = _matched(keyed, used, level).where("c_a <> c_b or n_a > 1").select(F.lit(level).alias("level"), F.least("c_a", "c_b").alias("x"), F.greatest("c_a", "c_b").alias("y")).distinct()
+        found = pairs if found is None else found.unionByName(pairs)
+    found = written(found, "legacy-pairs")
+    label = written(linked_labels(found, "x", "y"), "legacy-labels")
+    alone = found.where("x = y").select(F.col("x").alias("node")).distinct().join(label.select("node"), "node", "left_anti").select("node", F.col("node").alias("label"))
+    label = label.unionByName(alone)
+    of_class = classes.join(label, F.col("c") == F.col("node"))
+    facts = of_class.groupBy("label").agg(F.collect_list(F.struct("c", "ssn", "dob", *PLACE_SETS)).alias("facts"))
+    edges = found.join(label, F.col("x") == F.col("node")).groupBy("label").agg(F.collect_list(F.struct("level", "x", "y")).alias("edges"))
+    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in (*used, *ids)]
+    condition = same[0]
+    for s in same[1:]:
+        condition = condition & s
+    mine = code.alias("l").join(of_class.alias("r"), condition).select("l.idx", "r.c", "r.label")
+    blocks = mine.groupBy("label").agg(F.collect_list(F.struct("idx", "c")).alias("rows")).join(facts, "label").join(edges, "label")
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for own, known, pairs in zip(pdf["rows"], pdf["facts"], pdf["edges"]):
+                near: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
+                for e in pairs:
+                    near[e["level"]][e["x"]].add(e["y"])
+                    near[e["level"]][e["y"]].add(e["x"])
+                known = {f["c"]: {k: f[k] for k in ("ssn", "dob", *PLACE_SETS)} for f in known}
+                out += [(i, r) for i, r in guarded([(r["idx"], r["c"]) for r in own], known, near).items()]
+            yield pd.DataFrame(out, columns=["i", "root"])
+
+    done = blocks.select("rows", "facts", "edges").mapInPandas(run, "i long, root long")
+    return code.select("idx").join(done, F.col("idx") == F.col("i"), "left").select("idx", F.coalesce("root", "idx").alias("root"))
+
+
 def bridge(rows: DataFrame) -> DataFrame:
     """(idx, target, tier, n_shared, decided): the named row that each fully unnamed row belongs to.
 

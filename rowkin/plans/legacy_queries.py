@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ..operators import legacy
 from ..workspace import table
+from . import pipeline
 from .hot_queries import sql_date, sql_name, sql_text
 from .record_queries import SSN, STREETS, sql_tokens
 
@@ -65,6 +66,19 @@ def backfilled_names(spark, d):
     return legacy.backfilled(table(spark, d, "old_records")).select("rec_id", "first_name", "last_name")
 
 
+def merged_old(spark, d):
+    return pipeline.final_rows(pipeline.resolve_old(table(spark, d, "old_records"))[0])
+
+
+def merged_unknowns(spark, d):
+    return pipeline.final_rows(pipeline.resolve_old(table(spark, d, "old_records"), bridged=True)[0])
+
+
+def legacy_clusters(spark, d):
+    return legacy.clusters(rows_of(spark, d))
+
+
+QUERIES |= {"legacy_clusters": legacy_clusters, "merged_old": merged_old, "merged_unknowns": merged_unknowns}
 QUERIES |= {"bridge_decision": bridge_decision, "backfilled_names": backfilled_names}
 _OVER = " + ".join(f"CAST(list_has_any(u.ids{n}, v.ids{n}) AS INT)" for n in legacy.BRIDGE)
 _EV = "CAST(v.ssn <> '' AS INT) + CAST(v.dob <> '' AS INT) + " + " + ".join(f"CAST(len(v.ids{n}) > 0 AS INT)" for n in legacy.BRIDGE)

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import address, consolidate, linkage, normalize, reports, survivorship
-from ..schema import ADDRESS, CONTACT, MATCH_IDS, OTHER, VF3_COLUMNS, require
+from ..operators import address, consolidate, legacy, linkage, normalize, reports, survivorship
+from ..schema import ADDRESS, CONTACT, MATCH_IDS, NAMES, OLD_COLUMNS, OTHER, VF3_COLUMNS, require
 from ..workspace import written
 from .profiles import PROFILES
 
@@ -90,6 +90,51 @@ def resolve(df: DataFrame, profile: str = "vf3", idx: str = "rec_id") -> Resolve
     )
 
 
+OLD_TOKENS = tuple(c for c in OLD_COLUMNS if c not in (*NAMES, *ADDRESS, "full_date_of_birth", "social_security_number"))
+
+
+def _old_rows(rooted: DataFrame, order: F.Column, places: DataFrame) -> DataFrame:
+    base = rooted.groupBy("root").agg(
+        *[survivorship.fullest(c, F.col(n), order).alias(c) for c, n in zip(NAMES, ("first", "last", "mid", "suf"))],
+        survivorship.fullest("social_security_number", F.col("ssn"), order).alias("social_security_number"),
+        F.count(F.lit(1)).alias("rows_merged"),
+        (survivorship.varies("first_name") | survivorship.varies("last_name")).alias("names_differ"),
+    )
+    out = base.join(places, "root").join(survivorship.merged_tokens(rooted, "root", order, list(OLD_TOKENS)), "root", "left")
+    out = out.join(survivorship.merged_dob(rooted, "root", order), "root", "left")
+    shown = [F.coalesce("dob_shown", F.lit("")).alias("full_date_of_birth") if c == "full_date_of_birth" else F.coalesce(c, F.lit("")).alias(c) for c in OLD_COLUMNS]
+    return out.select("root", *shown, "other_address", "rows_merged", "names_differ")
+
+
+def resolve_old(df: DataFrame, bridged: bool = False, idx: str = "rec_id") -> tuple[DataFrame, DataFrame | None]:
+    """One row per person under the older rules, in input column order, and with ``bridged`` the unnamed rows left for review.
+
+    Unnamed rows stay in the pool; ``bridged`` then shows missing names as [UNKNOWN] and merges each fully unnamed row into
+    the named row that it belongs to (``legacy.bridge``): texts, dates and addresses are joined flat, the named row's first.
+    """
+    require(df.columns, OLD_COLUMNS)
+    rows = legacy.normalized(df.select(idx, *OLD_COLUMNS), idx).withColumn("dob_raw", F.col("full_date_of_birth"))
+    rows = written(normalize.with_address_key(rows.drop("addr", "base", "unit")), "old-rows")
+    roots = written(legacy.clusters(legacy.normalized(rows.drop("dob", "ssn"), "idx")), "old-roots")
+    rooted = rows.join(roots, "idx")
+    places = written(address.addresses(rooted, "root"), "old-places")
+    merged = written(_old_rows(rooted, F.col("idx"), places), "old-merged")
+    if not bridged:
+        return merged, None
+    told = legacy.bridge(legacy.normalized(merged, "root"))
+    told = written(told, "bridge")
+    to = told.where("target is not null").select(F.col("idx").alias("root"), "target")
+    moved = rooted.join(to, "root", "left").withColumn("own", F.col("target").isNull()).withColumn("old", F.col("root")).withColumn("root", F.coalesce("target", "root"))
+    order = F.struct(~F.col("own"), F.col("old"), F.col("idx"))
+    per_root = places.join(to, "root", "left").withColumn("_f", F.col("target").isNull()).withColumn("final", F.coalesce("target", "root")).withColumn("n", F.lit(1).cast("long"))
+    folded = consolidate.folded_addresses(normalize.with_address_key(per_root), "final", "_f", False).select(F.col("final").alias("root"), *ADDRESS, "other_address")
+    out = legacy.backfilled(_old_rows(moved, order, folded))
+    tie = told.where("decided = 'evidence'").select(F.col("target").alias("root")).distinct().withColumn("tie_break", F.lit(True))
+    out = out.join(tie, "root", "left").withColumn("tie_break", F.coalesce("tie_break", F.lit(False)))
+    review = told.where("decided = 'review'").join(merged, F.col("idx") == F.col("root")).select(F.substring("docids", 1, 200).alias("docids"), "tier", "n_shared")
+    return out, review
+
+
 def with_docid_columns(merged: DataFrame, most: int = 20_000) -> DataFrame:
     """``merged`` with long docids cells spread over docids, docids_2, ...; one action finds how many are needed."""
     split = merged.withColumn("_c", survivorship.chunks("docids", most))
