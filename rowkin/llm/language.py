@@ -4,7 +4,7 @@ A word is the mean of the embeddings of its hashed character n-grams, a span the
 over languages sits on top.  Both are trained by stochastic gradient descent in numpy on spans of the labelled samples
 (a bounded number of rows, ``MAX_SAMPLES``); held-out spans calibrate a temperature.  Since the model is linear, every word
 has one score per language; a post is cut into passages by the best path over its words with a cost for changing the
-language, and a passage's confidence is the calibrated softmax of its mean.  Passages of low confidence are rejected.
+language, and a passage's confidence is the calibrated softmax of its mean, with the post's label as a prior.  Passages of low confidence are rejected.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ DIM = 24
 MAX_SAMPLES = 5000
 MIN_WORDS = 12
 SWITCH = 6.0  # cost of a change of language, in nats
-REJECT = 0.6  # passages below this confidence have no language
+PRIOR = 0.9  # weight of the post's own label, or else its main language, against all others, for each passage
+REJECT = 0.4  # passages below this confidence have no language
 
 LINK = re.compile(r"(?:https?://|www\.)\S+|\S+@\S+\.\S+")
 TAG = re.compile(r"<[^<>]{0,200}>|\[/?[a-zA-Z]{1,8}(?:=[^\[\]]{0,100})?\]")
@@ -75,8 +76,11 @@ class Model:
         z = np.exp(z - z.max())
         return z / z.sum()
 
-    def passages(self, words: list[str]) -> list[tuple[int, int, str, float]]:
-        """(first word, last word + 1, language, confidence) of each passage; the words are all covered."""
+    def passages(self, words: list[str], label: str | None = None) -> list[tuple[int, int, str, float]]:
+        """(first word, last word + 1, language, confidence) of each passage; the words are all covered.
+
+        Passages that the words alone leave in doubt go with ``label``, or with the main language if that is not known.
+        """
         if not words:
             return []
         s = self.scores(words)
@@ -95,10 +99,19 @@ class Model:
         for t in range(n - 1, 0, -1):
             path[t - 1] = back[t][path[t]]
         cuts = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), n]
-        out = []
+        main = self.langs.index(label) if label in self.langs else int(np.bincount(path, minlength=k).argmax())
+        prior = np.full(k, (1 - PRIOR) / max(k - 1, 1))
+        prior[main] = PRIOR
+        out: list[tuple[int, int, str, float]] = []
         for a, b in zip(cuts, cuts[1:]):
-            p = self.confidence(s[a:b].mean(0), b - a)
-            out.append((a, b, self.langs[path[a]], float(p[path[a]])))
+            p = self.confidence(s[a:b].mean(0), b - a) * prior
+            p /= p.sum()
+            lang, sure = self.langs[int(p.argmax())], float(p.max())
+            if out and out[-1][2] == lang:
+                a0, _, _, before = out.pop()
+                sure = (before * (a - a0) + sure * (b - a)) / (b - a0)
+                a = a0
+            out.append((a, b, lang, sure))
         return out
 
 
@@ -203,20 +216,22 @@ def passages(docs, model: Model):
     under ``REJECT`` has lang null.  Places are code points of the text without markup.  Other columns are ignored.
     """
     import pandas as pd
+    from pyspark.sql import functions as F
 
     def run(batches):
         for pdf in batches:
             rows = []
-            for i, text in zip(pdf["doc_id"].to_numpy(), pdf["text"]):
+            for i, text, label in zip(pdf["doc_id"].to_numpy(), pdf["text"], pdf["label"]):
                 if not isinstance(text, str) or not text:
                     continue
                 words, places = words_of(clean(text))
-                for k, (a, b, lang, p) in enumerate(model.passages(words)):
+                for k, (a, b, lang, p) in enumerate(model.passages(words, label)):
                     rows.append((i, k, lang if p >= REJECT else None, p, b - a, places[a][0], places[b - 1][1]))
             yield pd.DataFrame(rows, columns=["doc_id", "passage", "lang", "confidence", "n_words", "first_char", "last_char"])
 
     schema = "doc_id long, passage int, lang string, confidence double, n_words int, first_char int, last_char int"
-    return spread(docs.where("doc_id is not null").select("doc_id", "text"), "doc_id").mapInPandas(run, schema)
+    label = label_of(F.col("lang")) if "lang" in docs.columns else F.lit(None).cast("string")
+    return spread(docs.where("doc_id is not null").select("doc_id", "text", label.alias("label")), "doc_id").mapInPandas(run, schema)
 
 
 def mislabelled(docs, model: Model, min_words: int = MIN_WORDS):
