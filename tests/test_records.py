@@ -1,5 +1,6 @@
 """Survivorship, addresses, consolidation and the whole pipeline on small tables."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from rowkin.operators import address, reports, survivorship
@@ -12,61 +13,66 @@ def people(spark, rows):
     return spark.createDataFrame(full, "rec_id long, " + ", ".join(f"{c} string" for c in VF3_COLUMNS))
 
 
-def merged(spark, rows, profile="vf3"):
-    out = pipeline.resolve(people(spark, rows), profile)
-    return {r["root"]: r for r in out.merged.collect()}, out
+def ann(last, **cells):
+    return {"first_name": "Ann", "last_name": last} | cells
+
 
+FILLED = [{"social_security_number": "111111111", "phone_number_personal": "5"}, {"social_security_number": "222222222", "full_date_of_birth": "1/1/1980"}]
+ROWS = [
+    *[ann("DATES", social_security_number="111-11-1111", full_date_of_birth=d) for d in ("01/01/1980", "1/1/1980", "02/02/1990")],  # 0-2
+    *[ann("MASKED", social_security_number="123-45-XXXX")] * 2,  # 3, 4
+    ann("ONE", **FILLED[0]), ann("ONE"),  # 5, 6
+    ann("SHARES", **FILLED[0]), ann("SHARES", **FILLED[1]), ann("SHARES", phone_number_personal="5"),  # 7-9
+    ann("RICHER", **FILLED[0]), ann("RICHER", **FILLED[1]), ann("RICHER"),  # 10-12
+    ann("TIED", **FILLED[0]), ann("TIED", social_security_number="222222222"), ann("TIED"), ann("TIED"),  # 13-16
+    *[ann("STREETS", social_security_number="111111111", residential_address=x, city="X" if x else None) for x in ("1 Oak St", "9 Elm Rd", "1 Oak Street", None)],  # 17-20
+    ann("FOLD", social_security_number="111111111", residential_address="1 Oak St"), ann("FOLD", residential_address="9 Elm Rd"),  # 21, 22
+    {c: None for c in VF3_COLUMNS}, ann("N/A"), ann("NULLS", suffix=None, docids=None),  # 23-25
+    *[ann("MIDDLE", social_security_number="111111111", middle_name=m) for m in ("J", "K")],  # 26, 27
+]
 
-ANN = {"first_name": "Ann", "last_name": "Lee"}
+
+@pytest.fixture(scope="module")
+def vf3(spark):
+    out = pipeline.resolve(people(spark, ROWS))
+    return {r["root"]: r for r in out.merged.collect()}, out
 
 
-def test_same_number_other_birth_date(spark):
-    rows = [ANN | {"social_security_number": "111-11-1111", "full_date_of_birth": d} for d in ("01/01/1980", "1/1/1980", "02/02/1990")]
-    got, _ = merged(spark, rows)
-    assert {k: r["rows_merged"] for k, r in got.items()} == {0: 2, 2: 1}
-    assert got[0]["full_date_of_birth"] == "01/01/1980" and got[0]["docids"] == "D0; D1"
+def test_numbers_and_dates(vf3):
+    got = {k: r["rows_merged"] for k, r in vf3[0].items()}
+    assert got[0] == 2 and got[2] == 1 and vf3[0][0]["full_date_of_birth"] == "01/01/1980" and vf3[0][0]["docids"] == "D0; D1"
+    assert got[26] == 2
 
 
-def test_masked_number_without_date(spark):
-    rows = [ANN | {"social_security_number": "123-45-XXXX", "email_address_personal": "a@b"}] * 2
-    assert len(merged(spark, rows, "vf3")[0]) == 2
-    assert len(merged(spark, rows, "new")[0]) == 1
+def test_blank_rows_fold(vf3):
+    got, out = vf3
+    assert got[3]["rows_merged"] == 1 and got[4]["rows_merged"] == 1  # a masked number is evidence but confirms nothing
+    assert {k: (got[k]["rows_merged"], got[k]["tie_break"]) for k in (5, 7, 11, 15)} == {5: (2, False), 7: (2, False), 11: (2, True), 15: (2, False)}
+    assert [r["last_name"] for r in out.ambiguous.collect()] == ["TIED"]
 
 
-def test_blank_rows_fold(spark):
-    filled = [ANN | {"social_security_number": "111111111", "phone_number_personal": "5"}, ANN | {"social_security_number": "222222222", "full_date_of_birth": "1/1/1980"}]
-    got, _ = merged(spark, [filled[0], ANN])
-    assert got[0]["rows_merged"] == 2 and not got[0]["tie_break"]
-    got, _ = merged(spark, [*filled, ANN | {"phone_number_personal": "5"}])
-    assert got[0]["rows_merged"] == 2 and not got[0]["tie_break"]
-    got, _ = merged(spark, [*filled, ANN])
-    assert got[1]["rows_merged"] == 2 and got[1]["tie_break"]
-    got, out = merged(spark, [filled[0], ANN | {"social_security_number": "222222222"}, ANN, ANN])
-    assert got[2]["rows_merged"] == 2 and out.ambiguous.count() == 1
+def test_conflicting_addresses(vf3):
+    got, _ = vf3
+    assert got[17]["residential_address"] == "1 Oak St" and got[17]["other_address"] == "9 Elm Rd, X"
+    assert got[21]["residential_address"] == "1 Oak St" and got[21]["other_address"] == "9 Elm Rd"
 
 
-def test_conflicting_addresses(spark):
-    rows = [ANN | {"social_security_number": "111111111", "residential_address": a, "city": "X"} for a in ("1 Oak St", "9 Elm Rd", "1 Oak Street", None)]
-    got, _ = merged(spark, rows)
-    assert got[0]["residential_address"] == "1 Oak St" and got[0]["other_address"] == "9 Elm Rd, X"
-    rows = [ANN | {"social_security_number": "111111111", "residential_address": "1 Oak St"}, ANN | {"residential_address": "9 Elm Rd"}]
-    got, _ = merged(spark, rows)
-    assert got[0]["residential_address"] == "1 Oak St" and got[0]["other_address"] == "9 Elm Rd"
-    got, _ = merged(spark, rows, "vf")
-    assert got[0]["residential_address"] == "1 Oak St; 9 Elm Rd"
+def test_unknown_and_nulls(vf3):
+    got, out = vf3
+    assert {r["rec_id"]: r["unknown_field"] for r in out.unknown_entries.collect()} == {23: "First Name & Last Name", 24: "Last Name"}
+    assert got[25]["docids"] == ""
 
 
-def test_unknown_and_nulls(spark):
-    rows = [{c: None for c in VF3_COLUMNS}, ANN | {"last_name": "N/A"}, ANN | {"suffix": None, "docids": None}]
-    got, out = merged(spark, rows)
-    assert list(got) == [2] and {r["unknown_field"] for r in out.unknown_entries.collect()} == {"First Name & Last Name", "Last Name"}
-    got, out = merged(spark, rows[:2])
-    assert not got and "docids" in out.merged.columns
+def test_other_profiles(spark):
+    new = {r["root"]: r for r in pipeline.resolve(people(spark, ROWS), "new").merged.collect()}
+    assert new[3]["rows_merged"] == 2 and 26 in new and 27 in new and new[21]["residential_address"] == "1 Oak St; 9 Elm Rd"
 
 
-def test_middle_guard_only_in_new(spark):
-    rows = [ANN | {"social_security_number": "111111111", "middle_name": m} for m in ("J", "K")]
-    assert len(merged(spark, rows, "vf3")[0]) == 1 and len(merged(spark, rows, "new")[0]) == 2
+def test_no_known_row(spark):
+    out = pipeline.resolve(people(spark, [ann("N/A")]))
+    assert out.merged.count() == 0 and "docids" in out.merged.columns
+    with pytest.raises(ValueError, match="dobs"):
+        pipeline.resolve(people(spark, []).drop("dobs"))
 
 
 def test_large_groups_boundary(spark):
