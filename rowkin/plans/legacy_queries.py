@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..operators import legacy
-from ..workspace import table
+from ..workspace import spread, table
 from . import pipeline
 from .hot_queries import sql_date, sql_name, sql_text
 from .record_queries import SSN, STREETS, sql_tokens
@@ -42,7 +42,7 @@ def _fits(level: int) -> str:
 
 
 def rows_of(spark, d):
-    return legacy.normalized(table(spark, d, "old_records"))
+    return legacy.normalized(spread(table(spark, d, "old_records"), "rec_id"))
 
 
 QUERIES, SQL = {}, {}

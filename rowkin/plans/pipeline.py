@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..operators import address, consolidate, legacy, linkage, normalize, reports, survivorship
 from ..schema import ADDRESS, CONTACT, MATCH_IDS, NAMES, OLD_COLUMNS, OTHER, VF3_COLUMNS, require
-from ..workspace import written
+from ..workspace import spread, written
 from .profiles import PROFILES
 
 TOKENS = ("docids", *MATCH_IDS, *CONTACT, *OTHER)
@@ -40,7 +40,7 @@ def resolve(df: DataFrame, profile: str = "vf3", idx: str = "rec_id") -> Resolve
     rules = PROFILES[profile]
     require(df.columns, required(profile))
     raw = df.select(idx, *[c for c in df.columns if c in VF3_COLUMNS])
-    rows = written(normalize.with_address_key(normalize.normalized(raw, rules, idx)), "rows")
+    rows = written(normalize.with_address_key(normalize.normalized(spread(raw, idx), rules, idx)), "rows")
     known = normalize.known(rows)
     roots = written(linkage.clusters(known, rules), "roots")
     rooted = known.join(roots, "idx")
@@ -113,7 +113,7 @@ def resolve_old(df: DataFrame, bridged: bool = False, idx: str = "rec_id") -> tu
     the named row that it belongs to (``legacy.bridge``): texts, dates and addresses are joined flat, the named row's first.
     """
     require(df.columns, OLD_COLUMNS)
-    rows = legacy.normalized(df.select(idx, *OLD_COLUMNS), idx).withColumn("dob_raw", F.col("full_date_of_birth"))
+    rows = legacy.normalized(spread(df.select(idx, *OLD_COLUMNS), idx), idx).withColumn("dob_raw", F.col("full_date_of_birth"))
     rows = written(normalize.with_address_key(rows.drop("addr", "base", "unit")), "old-rows")
     roots = written(legacy.clusters(legacy.normalized(rows.drop("dob", "ssn"), "idx")), "old-roots")
     rooted = rows.join(roots, "idx")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import street, text
 from ..operators import address, linkage, normalize, reports, survivorship
 from ..schema import ADDRESS
-from ..workspace import table
+from ..workspace import spread, table, written
 from . import pipeline
 from .hot_queries import sql_date, sql_name, sql_squeezed, sql_text
 from .profiles import PROFILES
@@ -24,12 +24,12 @@ def vf3(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rows_of(spark: SparkSession, d: str) -> DataFrame:
-    return normalize.normalized(vf3(spark, d))
+    return normalize.normalized(spread(vf3(spark, d), "rec_id"))
 
 
 def rooted(spark: SparkSession, d: str) -> DataFrame:
     """Known rows with the root of levels 1 and 2."""
-    known = normalize.known(rows_of(spark, d))
+    known = written(normalize.known(rows_of(spark, d)), "known")
     return known.join(linkage.level12(known).select("idx", "root"), "idx")
 
 
@@ -232,7 +232,7 @@ def hot_buckets(spark, d):
 
 @query(sql_rows(L12) + "SELECT root, count(*) AS n_rows, max(gs) AS g_ssn, max(gd) AS g_dob FROM g GROUP BY root")
 def l12_clusters(spark, d):
-    known = normalize.known(rows_of(spark, d))
+    known = written(normalize.known(rows_of(spark, d)), "known")
     return linkage.level12(known).groupBy("root").agg(F.count(F.lit(1)).alias("n_rows"), F.max("g_ssn").alias("g_ssn"), F.max("g_dob").alias("g_dob"))
 
 
@@ -255,7 +255,7 @@ for _n in range(1, 7):
 
 @query()
 def greedy_clusters(spark, d):
-    known = normalize.known(rows_of(spark, d))
+    known = written(normalize.known(rows_of(spark, d)), "known")
     return linkage.clusters(known).groupBy("root").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
