@@ -353,9 +353,12 @@ def address_split(spark, d):
     return address.addresses(normalize.with_address_key(rooted(spark, d)), "root")
 
 
+SOURCES = {"new": "new_records"}  # the table of a profile, if not vf3_records
+
+
 def _resolved(profile: str):
     def merged(spark, d):
-        return pipeline.final_rows(pipeline.resolve(vf3(spark, d), profile).merged)
+        return pipeline.final_rows(pipeline.resolve(table(spark, d, SOURCES.get(profile, "vf3_records")), profile).merged)
 
     merged.__name__ = f"merged_{profile}"
     return query()(merged)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowkin.operators import address, reports, survivorship
-from rowkin.plans import pipeline
+from rowkin.plans import pipeline, record_queries
 from rowkin.schema import VF3_COLUMNS
 
 
@@ -105,3 +105,11 @@ def test_rows_add_up(spark, sf):
     known = df.count() - out.unknown_entries.count()
     assert out.merged.agg(F.sum("rows_merged")).first()[0] == known
     assert out.merged.where(F.col("full_date_of_birth").contains(";") & (F.col("rows_merged") > 1)).count() == 0
+
+
+def test_merged_new_reads_new_records(spark, tmp_path):
+    people(spark, [ann("OTHER")]).write.parquet(f"{tmp_path}/vf3_records.parquet")
+    people(spark, ROWS).write.parquet(f"{tmp_path}/new_records.parquet")
+    got = {r["root"]: r["rows_merged"] for r in record_queries.QUERIES["merged_new"](spark, str(tmp_path)).collect()}
+    assert got[3] == 2 and got[26] == 1 and got[27] == 1  # equal masked numbers join, other middle names do not
+    assert [r["last_name"] for r in record_queries.QUERIES["merged_vf3"](spark, str(tmp_path)).collect()] == ["OTHER"]
