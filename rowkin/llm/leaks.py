@@ -3,7 +3,8 @@
 Texts become words (lower case; markup, punctuation, line breaks and quote signs gone).  Every run of K words is
 hashed, and of every W successive hashes the smallest is kept: two texts that share W + K - 1 words in a row share a
 fingerprint.  Fingerprints of corpus and test items are joined, and for the pairs that meet the common runs of at
-least RUN words are chained in order; a pair is a leak if the chain holds SHARE of the item's words.
+least RUN words are chained in order; a pair is a leak if the chain holds SHARE of the item's words.  Fingerprints of
+stock sentences count like any other: their pairs fall at a bound on the chain that costs little.
 
 The corpus side is never shuffled by fingerprint while the test side is small (its rows are counted first); texts are
 read again only for candidates, whose join Spark broadcasts or shuffles by their size at run time.
@@ -27,7 +28,6 @@ K = 4
 W = 4
 RUN = 3
 SHARE = 0.4
-STOCK = 20  # a fingerprint of more items than this is a stock sentence's and makes no candidate
 BOUND = 300_000  # fingerprints or items up to this number are broadcast
 
 TAG = re.compile(r"<[^<>]{0,200}>|\[/?[a-zA-Z]{1,8}(?:=[^\[\]]{0,100})?\]")
@@ -103,6 +103,12 @@ def chained(item: list[str], doc: list[str], run: int = RUN) -> tuple[int, int,
     return len(ends), begin[-1] if begin else 0, last
 
 
+def within_reach(item: np.ndarray, doc: np.ndarray, run: int = RUN) -> int:
+    """Words of an item in common runs of at least ``run`` words, in any order, from the grams of both: ``chained`` gives no more."""
+    hit = np.isin(item, doc)
+    return int(np.convolve(hit, np.ones(run, dtype=int)).astype(bool).sum()) if len(hit) else 0
+
+
 def leaks(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
     """(doc_id, item_id, n_matched, n_item_words, first_word, last_word) of every post that contains ``share`` of an item.
 
@@ -110,10 +116,10 @@ def leaks(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
     are read whole; extra columns are ignored; empty tables give no row.
     """
     marks = fingerprints(items, "item_id", "item_text").distinct()
-    rare = marks.groupBy("mark").agg(F.collect_set("item_id").alias("items")).where(F.size("items") <= STOCK)
+    held = marks.groupBy("mark").agg(F.collect_set("item_id").alias("items"))
     pairs = (
         fingerprints(docs, "doc_id", "text")
-        .join(small(rare, BOUND), "mark")
+        .join(small(held, BOUND), "mark")
         .select("doc_id", F.explode("items").alias("item_id"))
         .distinct()
         .join(small(items.select("item_id", "item_text"), BOUND), "item_id")
@@ -122,15 +128,19 @@ def leaks(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
 
     def run(batches):
         for pdf in batches:
-            rows, last, ws, own = [], None, [], {}
+            rows, last, ws, grams, own = [], None, [], None, {}
             for i, j, x, t in zip(pdf["doc_id"], pdf["item_id"], pdf["item_text"], pdf["text"]):
                 if i != last:
                     last, ws = i, words(t)
+                    grams = _grams(ws, RUN)
                 if j not in own:
-                    own[j] = words(x)
-                n, a, b = chained(own[j], ws)
-                if n >= share * len(own[j]):
-                    rows.append((i, j, n, len(own[j]), a, b))
+                    own[j] = (item := words(x)), _grams(item, RUN)
+                item, runs = own[j]
+                if within_reach(runs, grams) < share * len(item):
+                    continue
+                n, a, b = chained(item, ws)
+                if n >= share * len(item):
+                    rows.append((i, j, n, len(item), a, b))
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "n_matched", "n_item_words", "first_word", "last_word"])
 
     schema = "doc_id long, item_id long, n_matched int, n_item_words int, first_word int, last_word int"

@@ -48,6 +48,22 @@ def test_leaks(spark):
     assert leaks.leaks(d.limit(0), e).count() == 0 and leaks.leaks(d, e.limit(0)).count() == 0
 
 
+def test_passage_of_many_items(spark):
+    rng = random.Random(4)
+    passage, stock = text(rng, 60), text(rng, 12)
+    items = [(i, " ".join(passage + text(rng, 10))) for i in range(30)] + [(100 + i, " ".join(stock + text(rng, 60))) for i in range(30)]
+    docs = [(1, " ".join(text(rng, 40) + passage)), (2, " ".join(stock + text(rng, 80))), (3, " ".join(text(rng, 80)))]
+    d, e = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, item_text string")
+    assert sorted((r["doc_id"], r["item_id"]) for r in leaks.leaks(d, e).collect()) == [(1, i) for i in range(30)]
+
+
+def test_reach_bounds_the_chain():
+    rng = random.Random(5)
+    for _ in range(300):
+        item, doc = ([f"w{rng.randrange(6)}" for _ in range(rng.randrange(25))] for _ in range(2))
+        assert leaks.within_reach(leaks._grams(item, leaks.RUN), leaks._grams(doc, leaks.RUN)) >= leaks.chained(item, doc)[0]
+
+
 @pytest.fixture(scope="module")
 def samples(sf):
     import pandas as pd
