@@ -33,6 +33,17 @@ def rooted(spark: SparkSession, d: str) -> DataFrame:
     return known.join(linkage.level12(known).select("idx", "root"), "idx")
 
 
+def persons(spark: SparkSession, d: str) -> DataFrame:
+    """Known rows with the root of all levels."""
+    known = written(normalize.known(rows_of(spark, d)), "known")
+    return known.join(written(linkage.clusters(known), "roots"), "idx")
+
+
+def final(spark: SparkSession, d: str) -> DataFrame:
+    """The final row of every person: all levels, blank rows folded, exact duplicates once."""
+    return pipeline.final_rows(pipeline.resolve(vf3(spark, d)).merged)
+
+
 # -- the SQL's common pieces ------------------------------------------------------------------------------------------
 
 SSN_PATTERN = "regexp_replace(translate(upper(coalesce(social_security_number, '')), '*#?', 'XXX'), '[^0-9X]', '', 'g')"
@@ -333,24 +344,38 @@ def evidence_score(spark, d):
 
 @query(sql_rows(L12) + "SELECT root, count(*) AS rows_merged FROM g GROUP BY root HAVING count(*) > 50 ORDER BY 2 DESC, 1")
 def large_groups(spark, d):
+    """Of the groups of levels 1 and 2, which SQL can say; ``large_groups_resolved`` has the persons of all levels."""
     return reports.large_groups(rooted(spark, d).groupBy("root").agg(F.count(F.lit(1)).alias("rows_merged")))
 
 
 @query(sql_rows(L12) + "SELECT count(*) AS n_persons, CAST(sum(CASE WHEN rows_merged > 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_merged, max(rows_merged) AS largest, CAST(sum(rows_merged) AS BIGINT) AS n_rows FROM (SELECT root, count(*) AS rows_merged FROM g GROUP BY root) m")
 def run_summary(spark, d):
+    """Of the groups of levels 1 and 2, which SQL can say; ``run_summary_resolved`` has the persons of all levels."""
     return reports.summary(rooted(spark, d).groupBy("root").agg(F.count(F.lit(1)).alias("rows_merged")))
 
 
+# -- the persons of all levels ----------------------------------------------------------------------------------------
+
+
+@query()
+def large_groups_resolved(spark, d):
+    return reports.large_groups(final(spark, d)).select("root", "rows_merged")
+
+
+@query()
+def run_summary_resolved(spark, d):
+    return reports.summary(final(spark, d))
+
+
 @query()
 def docid_chunks(spark, d):
-    """Merged docids of each group in pieces of at most 200 characters."""
-    merged = survivorship.merged_tokens(rooted(spark, d), "root", F.col("idx"), ["docids"])
-    return merged.select("root", F.posexplode(survivorship.chunks("docids", 200)).alias("piece", "docids"))
+    """Merged docids of each person in pieces of at most 200 characters."""
+    return final(spark, d).select("root", F.posexplode(survivorship.chunks("docids", 200)).alias("piece", "docids"))
 
 
 @query()
 def address_split(spark, d):
-    return address.addresses(normalize.with_address_key(rooted(spark, d)), "root")
+    return address.addresses(normalize.with_address_key(persons(spark, d)), "root")
 
 
 SOURCES = {"new": "new_records"}  # the table of a profile, if not vf3_records

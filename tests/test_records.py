@@ -113,3 +113,15 @@ def test_merged_new_reads_new_records(spark, tmp_path):
     got = {r["root"]: r["rows_merged"] for r in record_queries.QUERIES["merged_new"](spark, str(tmp_path)).collect()}
     assert got[3] == 2 and got[26] == 1 and got[27] == 1  # equal masked numbers join, other middle names do not
     assert [r["last_name"] for r in record_queries.QUERIES["merged_vf3"](spark, str(tmp_path)).collect()] == ["OTHER"]
+
+
+def test_reports_of_all_levels(spark, tmp_path):
+    street = lambda i: "9 Elm Rd" if i == 59 else "1 Oak St"
+    rows = [ann("LICENSE", drivers_license_number="L1234567", residential_address=street(i)) for i in range(60)]
+    people(spark, rows).write.parquet(f"{tmp_path}/vf3_records.parquet")
+    got = lambda name: [tuple(r) for r in record_queries.QUERIES[name](spark, str(tmp_path)).collect()]
+    assert got("large_groups_resolved") == [(0, 60)] and got("run_summary_resolved") == [(1, 1, 60, 60)]
+    pieces = sorted(got("docid_chunks"))
+    assert {r[0] for r in pieces} == {0} and "; ".join(r[2] for r in pieces) == "; ".join(f"D{i}" for i in range(60))
+    (one,) = record_queries.QUERIES["address_split"](spark, str(tmp_path)).collect()
+    assert one["root"] == 0 and one["residential_address"] == "1 Oak St" and one["other_address"] == "9 Elm Rd"
