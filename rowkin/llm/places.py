@@ -166,9 +166,8 @@ def locations(records: list[tuple]) -> list[int]:
             if not r[k] and len({records[j][k] for j in near[i]} - {""}) > 1:
                 sure = False
         if not r[0] or not r[1]:
-            mine = near[i]
-            towns = [(records[j][0], records[j][1]) for j in mine]
-            sure = sure and all(_town(x, y) for x in towns[:50] for y in towns)
+            towns = {(records[j][0], records[j][1]) for j in near[i]}
+            sure = sure and all(_town(x, y) for x in towns for y in towns)
         for j in near[i]:
             if sure or all(bool(records[i][k]) == bool(records[j][k]) and records[i][k] == records[j][k] for _, k in clash):
                 other = records[j]

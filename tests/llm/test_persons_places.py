@@ -117,3 +117,11 @@ def test_same_places(spark):
     got = sorted(map(tuple, places.variant_addresses(df).collect()))
     assert got == [(1, 2), (1, 3), (2, 3), (4, 5)]
     assert places.variant_addresses(df.limit(0)).count() == 0
+
+
+def test_doubt_past_the_fiftieth_record():
+    town = lambda city: (city, "12345", "", "ST", "")
+    cities = [*[f"ALPHA GAMMA W{i}" for i in range(50)], "ALPHA", "GAMMA"]
+    sides = [(c, "", side, "ST", "") for c in cities for side in "NS"]  # these put the others in doubt about the direction
+    records = [("", "12345", "", "", ""), *[town(c) for c in cities], *sides]
+    assert places.locations(records).count(0) == 1  # ALPHA and GAMMA contradict each other, so the first one is in doubt
