@@ -3,7 +3,7 @@
 1. Cells are taken apart into house number, unit, street words, direction, type, city and zip (``address_parts``); rows
    with equal parts collapse into one record, and records with equal number and street words into one street spelling.
 2. Street spellings are shingled into words and q-grams; MinHash signatures are cut into bands, and spellings of one
-   house number that share a band are candidates.  Since a candidate is a pair of spellings, not of rows, many
+   house number that share a band, or a key of a short name (``short_keys``), are candidates.  Since a candidate is a pair of spellings, not of rows, many
    residents, units or repeated rows of one building make no pairs here.
 3. Candidates are verified by affine-gap alignment of their words, where a substitution costs little between an
    abbreviation or a typo and its word, and a gap costs little once it is open.
@@ -32,6 +32,7 @@ from .names import same_group_pairs
 BANDS = 32
 ROWS = 2
 Q = 3
+SHORT = 8  # words up to this length also meet by one edit
 ZIPS = 200_000  # zips up to this number are broadcast
 MOST_COST = 0.3  # cost per word up to which two spellings are one street
 CELLS = ["residential_address", "city", "zip_code"]
@@ -57,6 +58,22 @@ def bands(street: str) -> list[int]:
     return [xxhash.xxh64_intdigest(sig[b].tobytes(), seed=b) - (1 << 63) for b in range(BANDS)]
 
 
+def short_keys(street: str) -> set[str]:
+    """What spellings of one street share where 3-grams tell little: a word, or all words run together, is known by its full
+    form, its first letters, and, if short, itself with one letter left out (one edit or swap apart share one of these)."""
+    words = street.split()
+    run = "".join(words)
+    keys = {f"p{w[:3]}" for w in words if len(w) >= 3} | {f"s{_SHORT.get(w, w)}" for w in [*words, run]}
+    for w in {x for x in words if len(x) <= SHORT} | ({run} if len(run) <= SHORT + 4 else set()):
+        keys |= {f"d{w}"} | {f"d{w[:i]}{w[i + 1 :]}" for i in range(len(w))}
+    return keys
+
+
+def meets(street: str) -> list[int]:
+    """Hashes of which two candidate spellings share one: MinHash bands and short keys."""
+    return [*bands(street), *(xxhash.xxh64_intdigest(k, seed=BANDS) - (1 << 63) for k in short_keys(street))]
+
+
 @lru_cache(200_000)
 def word_cost(a: str, b: str) -> float:
     """0 for equal words, little for an abbreviation or a typo, 1 for different ones."""
@@ -209,8 +226,8 @@ def same_places(rows: DataFrame) -> DataFrame:
 
     def band(batches):
         for pdf in batches:
-            got = [bands(x) for x in pdf["street"]]
-            out = pdf.loc[pdf.index.repeat(BANDS)].reset_index(drop=True)
+            got = [meets(x) for x in pdf["street"]]
+            out = pdf.loc[pdf.index.repeat([len(g) for g in got])].reset_index(drop=True)
             yield out.assign(band=[h for g in got for h in g])
 
     banded = spelled.mapInPandas(band, "number string, street string, s long, band long")

@@ -125,3 +125,14 @@ def test_doubt_past_the_fiftieth_record():
     sides = [(c, "", side, "ST", "") for c in cities for side in "NS"]  # these put the others in doubt about the direction
     records = [("", "12345", "", "", ""), *[town(c) for c in cities], *sides]
     assert places.locations(records).count(0) == 1  # ALPHA and GAMMA contradict each other, so the first one is in doubt
+
+
+def test_short_street_names_meet():
+    for a, b in (("MAIN", "MIAN"), ("PARK", "PRAK"), ("MAPLE", "MALPE"), ("OAK HILL", "ELM HILL"), ("MAIN", "MAN"), ("ELM", "ELMWOOD")):
+        assert set(places.meets(a)) & set(places.meets(b)), (a, b)
+    rng = random.Random(6)
+    for _ in range(300):
+        a = [rng.choice("ABCDE") for _ in range(rng.randrange(4, 8))]
+        b, i = list(a), rng.randrange(len(a) - 1)
+        b[i], b[i + 1] = b[i + 1], b[i]
+        assert set(places.meets("".join(a))) & set(places.meets("".join(b)))
