@@ -164,6 +164,15 @@ def neighbours(words: DataFrame, most: int = SHARD) -> DataFrame:
     return found.unionByName(turned).distinct()
 
 
+def form_links(matcher: Matcher) -> list[tuple[str, str]]:
+    """Both directions of every two words that are forms of one given name, grouped by that name."""
+    by_name: dict[str, set[str]] = {}
+    for word, names in matcher.forms.items():
+        for name in names:
+            by_name.setdefault(name, set()).add(word)
+    return sorted({(a, b) for own in by_name.values() for a in own for b in own if a != b})
+
+
 def linked_records(rows: DataFrame, forms: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rec_id, code) of the rows with a name, and (rec_a, rec_b) of records, one per code, found to be one person."""
     spark = rows.sparkSession
@@ -188,7 +197,7 @@ def linked_records(rows: DataFrame, forms: DataFrame) -> tuple[DataFrame, DataFr
 
     told = written(spread(records, "rec").mapInPandas(take, "rec long, words array<string>, values array<string>").where((F.size("words") > 0) & (F.size("values") > 0)), "told")
     near = neighbours(told.select(F.explode("words").alias("word")).distinct())
-    alike = [(a, b) for a in matcher.forms for b in matcher.forms if a != b and matcher.forms[a] & matcher.forms[b]] if len(short) <= 2000 else short + [(b, a) for a, b in short]
+    alike = form_links(matcher)
     if alike:
         near = near.unionByName(spark.createDataFrame(alike, "word string, near string"))
     near = written(near, "near")

@@ -136,3 +136,9 @@ def test_short_street_names_meet():
         b, i = list(a), rng.randrange(len(a) - 1)
         b[i], b[i + 1] = b[i + 1], b[i]
         assert set(places.meets("".join(a))) & set(places.meets("".join(b)))
+
+
+def test_form_links_of_many_rows():
+    short = [("Robert", "Bob"), ("Robert", "Rob"), *[(f"Given{chr(97 + i // 676)}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}", f"Short{i}") for i in range(2500)]]
+    got = set(names.form_links(names.Matcher(short)))
+    assert {("robert", "bob"), ("bob", "robert"), ("bob", "rob"), ("rob", "bob")} <= got
