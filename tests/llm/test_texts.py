@@ -83,6 +83,48 @@ def test_held_out_accuracy(samples):
     assert right / total > 0.95
 
 
+def test_paths_against_a_plain_search():
+    rng = np.random.default_rng(1)
+    size = rng.integers(1, 12, 60)
+    e = rng.normal(0, 2, (size.sum(), 3))
+    begin = np.cumsum(size) - size
+    got = language.best_paths(e, begin, size, 1.5)
+    for a, n in zip(begin, size):
+        best = [(e[a, k], (k,)) for k in range(3)]
+        for t in range(1, n):
+            best = [max((v - 1.5 * (p[-1] != k) + e[a + t, k], (*p, k)) for v, p in best) for k in range(3)]
+        path = got[a : a + n]
+        value = e[np.arange(a, a + n), path].sum() - 1.5 * (path[1:] != path[:-1]).sum()
+        assert value == pytest.approx(max(best)[0])
+
+
+def test_words_of_many_texts():
+    texts = ["It's a Fimdane 300, not ABC 1!", "", "d’accord — ¿qué? x1y", "Да 12", "👍 𝒳yz"]
+    words, of, a, b = language.cut(texts)
+    assert list(zip(of.tolist(), words)) == [(0, "It's"), (0, "a"), (0, "not"), (2, "d’accord"), (2, "qué"), (2, "x"), (2, "y"), (4, "𝒳yz")]
+    assert all(texts[i][x:y] == w for i, x, y, w in zip(of, a, b, words))
+    assert language.clean("<a title='" + "x" * 900 + "'>hi</a> 3 < 5 > 4 [url=" + "y" * 500 + "]z[/url] u@v.w &amp;lt;b&amp;gt;k").split() == ["hi", "3", "<", "5", ">", "4", "z", "0", "k"]
+    assert language.clean("a" * 200_000 + " b")[-1] == "b"  # no quadratic search
+
+
+def test_unknown_languages_are_rejected(samples):
+    """Languages left out of the samples; Spanish and Portuguese, too close to tell from thirty samples, are not among them."""
+    total = rejected = 0
+    for out in ("de", "en", "it", "nl", "ru", "sv"):
+        left = samples.lang != out
+        model = language.train(list(samples.sample_text[left]), list(samples.lang[left]), epochs=8)
+        for t in samples.sample_text[~left]:
+            for a, b, _, p in model.passages(language.words_of(language.clean(t))[0]):
+                if b - a >= language.MIN_WORDS:
+                    total, rejected = total + 1, rejected + (p < language.REJECT)
+    assert rejected / total >= 0.9
+    model = language.train(list(samples.sample_text), list(samples.lang))
+    finnish = "Eilen illalla satoi niin paljon että joki nousi yli äyräiden ja koko kylä joutui lähtemään kodeistaan ennen aamua"
+    letters = "xqzv wkjp bvtr zzkq pltx vrrw qmnb xxpt jkwz hgfd qwrt plkm"
+    for text in (finnish, letters):
+        assert all(p < language.REJECT for a, b, _, p in model.passages(language.words_of(text)[0]) if b - a >= language.MIN_WORDS)
+
+
 def test_passages_and_labels(spark, samples):
     by = {x: " ".join(samples.sample_text[samples.lang == x][:4]) for x in ("en", "de", "fr")}
     model = language.train(list(samples.sample_text), list(samples.lang))
@@ -96,6 +138,8 @@ def test_passages_and_labels(spark, samples):
     rows = [r for r in language.passages(docs, model).collect() if r["doc_id"] == 5]
     assert [r["lang"] for r in sorted(rows, key=lambda r: r["passage"])] == ["en", "de"] and all(0 <= r["confidence"] <= 1 for r in rows)
     assert language.mislabelled(docs.limit(0), model).count() == 0
+    alone = language.train(["one two three four"] * 2, ["xx"] * 2)  # a language of no fixed list is known by its own code
+    assert language.mislabelled(spark.createDataFrame([(1, "one two three four " * 4, "XX"), (2, "one two three four " * 4, "en")], "doc_id long, text string, lang string"), alone).collect() == [(2, "xx")]
 
 
 def test_labels(spark):
