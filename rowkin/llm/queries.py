@@ -52,7 +52,7 @@ def p7_spans(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    return p7_spans(spark, d).select("doc_id", "item_id")
+    return p7_spans(spark, d).select("doc_id", "item_id").distinct()
 
 
 def p8_passages(spark: SparkSession, d: str) -> DataFrame:

@@ -18,20 +18,23 @@ def test_winnowing_finds_every_long_shared_span():
     rng = random.Random(1)
     for _ in range(200):
         shared = text(rng, leaks.K + leaks.W - 1)
-        a = leaks.winnowed([*text(rng, rng.randrange(30)), *shared, *text(rng, rng.randrange(30))])
-        b = leaks.winnowed([*text(rng, rng.randrange(30)), *shared, *text(rng, rng.randrange(30))])
-        assert np.intersect1d(a, b).size
-    assert leaks.winnowed(["a"] * 3).size == 0 and leaks.winnowed([]).size == 0
+        each = [[*text(rng, rng.randrange(30)), *shared, *text(rng, rng.randrange(30))] for _ in range(2)]
+        marks, of = leaks.winnowed(leaks.hashes(each[0] + each[1]), np.repeat([0, 1], [len(x) for x in each]))
+        assert np.intersect1d(marks[of == 0], marks[of == 1]).size
+        assert set(marks[of == 1]) == set(leaks.winnowed(leaks.hashes(each[1]), np.zeros(len(each[1]), int))[0])  # texts do not touch
+    for n in range(9):
+        assert (leaks.winnowed(leaks.hashes(["a"] * n), np.zeros(n, int))[0].size > 0) == (n >= leaks.K)
 
 
 def test_chain_is_near_the_matched_words():
     rng = random.Random(2)
     item = text(rng, 80)
     doc = text(rng, 50) + item[10:40] + text(rng, 5) + item[45:70] + text(rng, 50)
-    n, a, b = leaks.chained(item, doc)
+    runs = lambda ws: leaks._grams(leaks.hashes(ws), leaks.RUN)
+    n, a, b = leaks.chained(runs(item), runs(doc))
     blocks = SequenceMatcher(None, item, doc, autojunk=False).get_matching_blocks()
     assert n == sum(x.size for x in blocks if x.size >= leaks.RUN) == 55 and (a, b) == (50, 110)
-    assert leaks.chained(item, text(rng, 100))[0] == 0 and leaks.chained([], doc) == (0, 0, 0)
+    assert leaks.chained(runs(item), runs(text(rng, 100)))[0] == 0 and leaks.chained(runs([]), runs(doc)) == (0, 0, 0)
 
 
 def test_leaks(spark):
@@ -46,22 +49,25 @@ def test_leaks(spark):
     got = sorted((r["doc_id"], r["item_id"]) for r in leaks.leaks(d, e).collect())
     assert got == [(0, 10), (1, 10), (7, 11), (7, 12), (8, 12), (9, 10)]
     assert leaks.leaks(d.limit(0), e).count() == 0 and leaks.leaks(d, e.limit(0)).count() == 0
+    assert sorted((r["doc_id"], r["item_id"]) for r in leaks.leaks(d, e.union(e), held=10).collect()) == got  # every item a block of its own
 
 
-def test_passage_of_many_items(spark):
+@pytest.mark.parametrize("many", [21, 200, 2000])
+def test_passage_of_many_items(spark, many):
     rng = random.Random(4)
     passage, stock = text(rng, 60), text(rng, 12)
-    items = [(i, " ".join(passage + text(rng, 10))) for i in range(30)] + [(100 + i, " ".join(stock + text(rng, 60))) for i in range(30)]
+    items = [(i, " ".join(passage + text(rng, 10))) for i in range(many)] + [(10_000 + i, " ".join(stock + text(rng, 60))) for i in range(30)]
     docs = [(1, " ".join(text(rng, 40) + passage)), (2, " ".join(stock + text(rng, 80))), (3, " ".join(text(rng, 80)))]
     d, e = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, item_text string")
-    assert sorted((r["doc_id"], r["item_id"]) for r in leaks.leaks(d, e).collect()) == [(1, i) for i in range(30)]
+    assert sorted((r["doc_id"], r["item_id"]) for r in leaks.leaks(d, e).collect()) == [(1, i) for i in range(many)]
 
 
 def test_reach_bounds_the_chain():
     rng = random.Random(5)
     for _ in range(300):
         item, doc = ([f"w{rng.randrange(6)}" for _ in range(rng.randrange(25))] for _ in range(2))
-        assert leaks.within_reach(leaks._grams(item, leaks.RUN), leaks._grams(doc, leaks.RUN)) >= leaks.chained(item, doc)[0]
+        item, doc = (leaks._grams(leaks.hashes(x), leaks.RUN) for x in (item, doc))
+        assert leaks.within_reach(item, doc) >= leaks.chained(item, doc)[0]
 
 
 @pytest.fixture(scope="module")
