@@ -7,20 +7,23 @@
    residents, units or repeated rows of one building make no pairs here.
 3. Candidates are verified by affine-gap alignment of their words, where a substitution costs little between an
    abbreviation or a typo and its word, and a gap costs little once it is open.
-4. Linked spellings are consolidated (``components``), and within each the locations are told apart by city, zip,
-   direction, type and unit; a missing part is filled from the others if it can only be one.
+4. Linked spellings are consolidated (``components``) into houses.  Within each, towns that are fully stated are linked by
+   equality joins (one zip and like cities, one city and zips one edit apart) and consolidated; a town that lacks city or zip is
+   the only one that it fits, or stays apart.
+5. Within a house of one town a missing direction, type or unit is the only one that is known there; where there are
+   several, the record is in doubt and unites with nobody but those that say the same.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..workspace import small, spread, written
@@ -28,6 +31,7 @@ from .address_parts import ORDINALS, STREET_WORDS, TYPES, parsed
 from .components import components
 from .name_parts import edits
 from .names import same_group_pairs
+from .words import Numbers
 
 BANDS = 32
 ROWS = 2
@@ -50,28 +54,75 @@ def shingles(street: str) -> set[str]:
     return {f"w{w}" for w in words} | {run[i : i + Q] for i in range(max(1, len(run) - Q + 1))}
 
 
-def bands(street: str) -> list[int]:
-    """One hash per band of the MinHash signature."""
-    h = np.array([xxhash.xxh64_intdigest(s) for s in shingles(street)], dtype=np.uint64)
-    x = h[:, None] * _MUL + _ADD
-    sig = (x ^ (x >> np.uint64(31))).min(0).reshape(BANDS, ROWS)
-    return [xxhash.xxh64_intdigest(sig[b].tobytes(), seed=b) - (1 << 63) for b in range(BANDS)]
+@lru_cache(100_000)
+def _word_keys(w: str) -> frozenset:
+    """Of one word: itself in full, its first letters, and, if short, itself with one letter left out."""
+    keys = {f"s{_SHORT.get(w, w)}"} | ({f"p{w[:3]}"} if len(w) >= 3 else set())
+    return frozenset(_hash(k) for k in keys | (_without_one(w) if len(w) <= SHORT else set()))
 
 
-def short_keys(street: str) -> set[str]:
-    """What spellings of one street share where 3-grams tell little: a word, or all words run together, is known by its full
-    form, its first letters, and, if short, itself with one letter left out (one edit or swap apart share one of these)."""
-    words = street.split()
-    run = "".join(words)
-    keys = {f"p{w[:3]}" for w in words if len(w) >= 3} | {f"s{_SHORT.get(w, w)}" for w in [*words, run]}
-    for w in {x for x in words if len(x) <= SHORT} | ({run} if len(run) <= SHORT + 4 else set()):
-        keys |= {f"d{w}"} | {f"d{w[:i]}{w[i + 1 :]}" for i in range(len(w))}
-    return keys
+def _run_keys(run: str) -> set[int]:
+    return {_hash(k) for k in {f"s{_SHORT.get(run, run)}"} | (_without_one(run) if len(run) <= SHORT + 4 else set())}
+
+
+def _without_one(w: str) -> set[str]:
+    return {f"d{w}"} | {f"d{w[:i]}{w[i + 1 :]}" for i in range(len(w))}
 
 
-def meets(street: str) -> list[int]:
-    """Hashes of which two candidate spellings share one: MinHash bands and short keys."""
-    return [*bands(street), *(xxhash.xxh64_intdigest(k, seed=BANDS) - (1 << 63) for k in short_keys(street))]
+def _hash(key: str) -> int:
+    return xxhash.xxh64_intdigest(key, seed=BANDS)
+
+
+def short_keys(street: str) -> set[int]:
+    """What spellings of one street share where 3-grams tell little: a word, or all words run together, is known by its full
+    form, a word by its first letters, and both, if short, by themselves with one letter left out (one edit or swap apart share one of these)."""
+    words = street.split()
+    return _run_keys("".join(words)).union(*map(_word_keys, words))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class Banding:
+    """Keys of which two candidates of one group share one: MinHash bands of many spellings at once, and short keys."""
+
+    def __init__(self):
+        self.known: list[int] = []
+        self.numbers = Numbers(lambda s: self.known.append(xxhash.xxh64_intdigest(s)))
+
+    def bands(self, spellings: list[str]) -> np.ndarray:
+        """One hash per spelling and band of its MinHash signature."""
+        if len(self.known) > 200_000:
+            self.known.clear()
+            self.numbers.clear()
+        each = [shingles(x) for x in spellings]
+        at = self.numbers.of(list(chain.from_iterable(each)))
+        h = np.array(self.known, dtype=np.uint64)[at]
+        n = np.fromiter(map(len, each), dtype=np.int64, count=len(each))
+        x = h[:, None] * _MUL + _ADD
+        sig = np.minimum.reduceat(x ^ (x >> np.uint64(31)), np.cumsum(n) - n).reshape(len(each), BANDS, ROWS)
+        out = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(each), BANDS))
+        for r in range(ROWS):
+            out = _mixed(out ^ sig[:, :, r])
+        return out
+
+    def keys(self, groups: list[str], spellings: list[str], by_word: bool = True, most: int = 1000) -> tuple[np.ndarray, np.ndarray]:
+        """The place of a spelling in the list and one of its keys within its group, for all its keys; without ``by_word``
+        only keys of the whole spelling."""
+        places, keys = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.uint64)]
+        for a in range(0, len(spellings), most):
+            own = spellings[a : a + most]
+            group = np.array([xxhash.xxh64_intdigest(g, seed=1) for g in groups[a : a + most]], dtype=np.uint64)
+            short = [short_keys(x) if by_word else _run_keys("".join(sorted(x.split()))) for x in own]
+            n = np.fromiter(map(len, short), dtype=np.int64, count=len(short))
+            at = np.repeat(np.arange(len(own)), n)
+            flat = np.fromiter(chain.from_iterable(short), dtype=np.uint64, count=n.sum())
+            places += [np.repeat(np.arange(a, a + len(own)), BANDS), a + at]
+            keys += [_mixed(self.bands(own) ^ group[:, None]).ravel(), _mixed(flat ^ group[at])]
+        return np.concatenate(places), np.concatenate(keys).view(np.int64)
 
 
 @lru_cache(200_000)
@@ -141,66 +192,85 @@ def same_zip(a: str, b: str) -> bool:
 PARTS = ("city", "zip", "direction", "type", "unit")
 
 
-def _fits(a: tuple, b: tuple) -> bool:
-    """Whether two records of one house and street contradict each other nowhere; a missing part contradicts nothing."""
-    (ca, za, da, ta, ua), (cb, zb, db, tb, ub) = a, b
-    if (da and db and da != db) or (ta and tb and ta != tb) or (ua and ub and ua != ub):
-        return False
-    if za and za == zb:
-        return not ca or not cb or like_city(ca, cb)
-    # without one zip, one city must tie them, and two typos at once tie nothing
-    if not ca or not cb or not same_city(ca, cb):
-        return False
-    return not za or not zb or (ca == cb and same_zip(za, zb))
+def _met(spelled: DataFrame, group: str, text: str, own: str, by_word: bool = True) -> DataFrame:
+    """(a, b), a < b: ids ``own`` of spellings that share a key within their ``group``."""
+
+    def run(batches):
+        banding = Banding()
+        for pdf in batches:
+            at, key = banding.keys(list(pdf[group]), list(pdf[text]), by_word)
+            yield pd.DataFrame({"id": pdf[own].to_numpy()[at], "key": key})
+
+    keyed = spread(spelled.select(own, group, text), own).mapInPandas(run, "id long, key long")
+    return keyed.select("key", F.col("id").alias("a")).join(keyed.select("key", F.col("id").alias("b")), "key").where("a < b").select("a", "b").distinct()
+
+
+def _verified(met: DataFrame, spelled: DataFrame, text: str, own: str, test) -> DataFrame:
+    """The pairs of :func:`_met` whose texts stand the ``test``."""
+
+    def run(batches):
+        for pdf in batches:
+            keep = [test(x, y) for x, y in zip(pdf["x"], pdf["y"])]
+            yield pdf[["a", "b"]][pd.Series(keep, index=pdf.index, dtype=bool)]
+
+    both = met.join(spelled.select(F.col(own).alias("a"), F.col(text).alias("x")), "a").join(spelled.select(F.col(own).alias("b"), F.col(text).alias("y")), "b")
+    return both.mapInPandas(run, "a long, b long")
+
+
+def _like_cities(towns: DataFrame, group: str, test, by_word: bool = True) -> DataFrame:
+    """(group, city, other), both ways: distinct cities of one ``group`` that stand the ``test``, each with itself included."""
+    each = written(towns.where("city <> ''").groupBy(group, "city").agg(F.min("t").alias("c")), "cities")
+    links = _verified(_met(each, group, "city", "c", by_word), each, "city", "c", test)
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(each.select(F.col("c").alias("a"), F.col("c").alias("b")))
+    name = lambda c, n, *more: each.select(F.col("c").alias(c), F.col("city").alias(n), *more)
+    return both.join(name("a", "city", group), "a").join(name("b", "other"), "b").select(group, "city", "other")
+
 
+def _zip_pairs(full: DataFrame, same: DataFrame) -> DataFrame:
+    """(a, b): towns of one house whose cities are the same, typos and abbreviations aside, and whose zips are one edit apart."""
+    less = F.transform(F.sequence(F.lit(1), F.length("zip")), lambda i: F.concat(F.expr("zip").substr(F.lit(1), i - 1), F.expr("zip").substr(i + 1, F.lit(99))))
+    keyed = full.select("house", "city", F.explode(F.array_union(F.array("zip"), less)).alias("k"), "t")
+    others = keyed.select("house", F.col("city").alias("other"), "k", F.col("t").alias("b"))
+    met = keyed.withColumnRenamed("t", "a").join(same, "city").join(others, ["house", "other", "k"]).where("a < b").select("a", "b").distinct()
+    return _verified(met, full, "zip", "t", same_zip)
 
-def locations(records: list[tuple]) -> list[int]:
-    """For each record (city, zip, direction, type, unit) of one house and street the index of its location's first one.
 
-    Records that fit and say equally much are one location.  A record that leaves parts out is what it fits, if all
-    that it fits could be one place; else it stays apart, with those that say the same.
+def town_classes(towns: DataFrame) -> DataFrame:
+    """(house, city, zip, town) for distinct (house, city, zip) with an id t: the same ``town`` for what is one town of a house.
+
+    Fully stated towns are one if they have one zip and like cities, or the same city and zips one edit apart, also through others.  One
+    without zip is the only one whose city it has, typos and abbreviations aside; one without city the only one of its zip.
+    With several to choose from it stays apart; without any it meets only others without zip.
     """
-    n = len(records)
-    root = list(range(n))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    near: list[list[int]] = [[] for _ in range(n)]
-    by_unit = defaultdict(list)
-    for i, r in enumerate(records):
-        by_unit[r[4]].append(i)
-    for i, r in enumerate(records):
-        others = range(n) if not r[4] else [*by_unit[r[4]], *by_unit[""]]
-        near[i] = [j for j in others if j != i and _fits(r, records[j])]
-    clash = [("direction", 2), ("type", 3), ("unit", 4)]
-    for i, r in enumerate(records):
-        sure = True
-        for _, k in clash:
-            if not r[k] and len({records[j][k] for j in near[i]} - {""}) > 1:
-                sure = False
-        if not r[0] or not r[1]:
-            towns = {(records[j][0], records[j][1]) for j in near[i]}
-            sure = sure and all(_town(x, y) for x in towns for y in towns)
-        for j in near[i]:
-            if sure or all(bool(records[i][k]) == bool(records[j][k]) and records[i][k] == records[j][k] for _, k in clash):
-                other = records[j]
-                # the other one must not be in doubt where this one speaks
-                if all(r[k] == other[k] or not r[k] or not _doubt(records, near[j], k, other) for _, k in clash):
-                    a, b = find(i), find(j)
-                    root[max(a, b)] = min(a, b)
-    return [find(i) for i in range(n)]
-
-
-def _doubt(records: list[tuple], near: list[int], k: int, own: tuple) -> bool:
-    return not own[k] and len({records[j][k] for j in near} - {""}) > 1
-
-
-def _town(x: tuple[str, str], y: tuple[str, str]) -> bool:
-    return (not x[0] or not y[0] or like_city(x[0], y[0])) and (not x[1] or not y[1] or same_zip(x[1], y[1]))
+    full, bare, coded = towns.where("city <> '' and zip <> ''"), towns.where("city <> '' and zip = ''"), towns.where("city = '' and zip <> ''")
+    to = lambda df, t: df.select("house", F.col("city").alias("other"), F.col("t").alias(t))
+    alike = written(_like_cities(full, "zip", like_city).where("city < other"), "like-cities")
+    one_zip = full.select("house", "zip", "city", F.col("t").alias("a")).join(alike, ["zip", "city"])
+    one_zip = one_zip.join(full.select("house", "zip", F.col("city").alias("other"), F.col("t").alias("b")), ["house", "zip", "other"]).select("a", "b")
+    everywhere = towns.withColumn("all", F.lit(""))
+    same = written(_like_cities(everywhere, "all", same_city, False).select("city", "other"), "same-cities")
+    asked = bare.select("house", "city", F.col("t").alias("p")).join(same, "city").select("house", "other", "p")
+    named = written(asked.join(to(full, "t"), ["house", "other"]).select("p", "t"), "named-towns")
+    lone = bare.join(named.select(F.col("p").alias("t")).distinct(), "t", "left_anti")
+    apart = lone.select("house", "city", F.col("t").alias("a")).join(same, "city").join(to(lone, "b"), ["house", "other"]).where("a < b").select("a", "b")
+    edges = written(one_zip.unionByName(_zip_pairs(full, same)).unionByName(apart), "town-edges")
+    classes = components(edges, "a", "b").select(F.col("rec_id").alias("t"), "group_id")
+    own = written(towns.join(classes, "t", "left").select("house", "city", "zip", "t", F.coalesce("group_id", "t").alias("town")), "town-classes")
+    zoned = coded.select("house", "zip", F.col("t").alias("p")).join(own.where("city <> '' and zip <> ''").select("house", "zip", "t"), ["house", "zip"]).select("p", "t")
+    only = named.unionByName(zoned).join(own.select("t", "town"), "t").groupBy("p").agg(F.min("town").alias("lo"), F.max("town").alias("hi")).where("lo = hi")
+    return own.join(only.select(F.col("p").alias("t"), "lo"), "t", "left").select("house", "city", "zip", F.coalesce("lo", "town").alias("town"))
+
+
+def _filled(kinds: DataFrame, part: str, beside: str) -> DataFrame:
+    """``kinds`` with a blank ``part`` made the only value that is known in the town for records whose ``beside`` is the same
+    or blank on one side."""
+    said, town, like = F.nullif(F.col(part), F.lit("")), Window.partitionBy("town"), Window.partitionBy("town", beside)
+    free = F.when(F.col(beside) == "", said)
+    out = kinds.withColumns({"_al": F.min(said).over(town), "_ah": F.max(said).over(town), "_fl": F.min(free).over(town), "_fh": F.max(free).over(town)})
+    out = out.withColumns({"_ll": F.min(said).over(like), "_lh": F.max(said).over(like)})
+    lo = F.when(F.col(beside) == "", F.col("_al")).otherwise(F.least("_ll", "_fl"))
+    hi = F.when(F.col(beside) == "", F.col("_ah")).otherwise(F.greatest("_lh", "_fh"))
+    return out.withColumn(part, F.when((F.col(part) == "") & (lo == hi), lo).otherwise(F.col(part))).drop("_al", "_ah", "_fl", "_fh", "_ll", "_lh")
 
 
 def same_places(rows: DataFrame) -> DataFrame:
@@ -219,49 +289,25 @@ def same_places(rows: DataFrame) -> DataFrame:
     cells = written(spread(rows.where(F.col("rec_id").isNotNull()).select("rec_id", *CELLS), "rec_id").mapInPandas(read, schema), "cells")
     told = cells.where("city <> '' and zip <> ''").groupBy("zip", "city").agg(F.count(F.lit(1)).alias("n"))
     of_zip = told.groupBy("zip").agg(F.max_by("city", F.struct("n", "city")).alias("town"), (F.max("n") * 2 > F.sum("n")).alias("most"))
-    towns = small(of_zip.where("most").select(F.col("zip").alias("z"), "town"), ZIPS)
+    majority = small(of_zip.where("most").select(F.col("zip").alias("z"), F.col("town").alias("usual")), ZIPS)
     # a missing city is the one that most rows of the zip state
-    cells = cells.join(towns, F.col("zip") == F.col("z"), "left").withColumn("city", F.when(F.col("city") == "", F.coalesce("town", F.lit(""))).otherwise(F.col("city"))).drop("z", "town")
+    cells = cells.join(majority, F.col("zip") == F.col("z"), "left").withColumn("city", F.when(F.col("city") == "", F.coalesce("usual", F.lit(""))).otherwise(F.col("city"))).drop("z", "usual")
     spelled = written(cells.groupBy("number", "street").agg(F.min("rec_id").alias("s")), "spellings")
-
-    def band(batches):
-        for pdf in batches:
-            got = [meets(x) for x in pdf["street"]]
-            out = pdf.loc[pdf.index.repeat([len(g) for g in got])].reset_index(drop=True)
-            yield out.assign(band=[h for g in got for h in g])
-
-    banded = spelled.mapInPandas(band, "number string, street string, s long, band long")
-    a = banded.select("number", "band", F.col("s").alias("sa"), F.col("street").alias("xa"))
-    b = banded.select("number", "band", F.col("s").alias("sb"), F.col("street").alias("xb"))
-    pairs = a.join(b, ["number", "band"]).where("sa < sb").select("sa", "sb", "xa", "xb").distinct()
-
-    def verify(batches):
-        for pdf in batches:
-            keep = [same_street(x, y) for x, y in zip(pdf["xa"], pdf["xb"])]
-            yield pdf[["sa", "sb"]][pd.Series(keep, index=pdf.index, dtype=bool)]
-
-    links = written(pairs.mapInPandas(verify, "sa long, sb long"), "streets")
-    street = components(links, "sa", "sb").select(F.col("rec_id").alias("s"), "group_id")
+    links = written(_verified(_met(spelled, "number", "street", "s"), spelled, "street", "s", same_street), "streets")
+    street = components(links, "a", "b").select(F.col("rec_id").alias("s"), "group_id")
     houses = spelled.join(street, "s", "left").select("number", "street", F.coalesce("group_id", "s").alias("house"))
-    records = cells.groupBy("number", "street", *PARTS).agg(F.min("rec_id").alias("rec")).join(houses, ["number", "street"])
-    kinds = records.groupBy("house", *PARTS).agg(F.min("rec").alias("rec"))
-
-    # distinct kinds of records only, so a house with many rows is not a large group; one kind needs no telling apart
-    groups = kinds.groupBy("house").agg(F.collect_list(F.struct("rec", *PARTS)).alias("kinds"))
-
-    def resolve(batches):
-        for pdf in batches:
-            out = []
-            for house, own in zip(pdf["house"], pdf["kinds"]):
-                own = sorted(own, key=lambda r: r["rec"])
-                parts = [tuple(r[c] for c in PARTS) for r in own]
-                at = locations(parts) if len(own) > 1 else [0]
-                out += [(house, *p, own[k]["rec"]) for p, k in zip(parts, at)]
-            yield pd.DataFrame(out, columns=["house", *PARTS, "place_id"])
-
-    schema = "house long, " + ", ".join(f"{c} string" for c in PARTS) + ", place_id long"
-    placed = groups.mapInPandas(resolve, schema)
-    return cells.join(houses, ["number", "street"]).join(placed, ["house", *PARTS]).select("rec_id", "place_id")
+    housed = written(cells.join(houses, ["number", "street"]).select("rec_id", "house", *PARTS), "housed")
+    # from here on distinct kinds of records only, so a house with many rows is not a large group
+    kinds = written(housed.groupBy("house", *PARTS).agg(F.min("rec_id").alias("rec")), "kinds")
+    towns = town_classes(written(kinds.groupBy("house", "city", "zip").agg(F.min("rec").alias("t")), "towns"))
+    told = kinds.join(towns, ["house", "city", "zip"]).select("rec", "town", "direction", "type", "unit")
+    told = _filled(_filled(told, "direction", "type"), "type", "direction")
+    building, unit = Window.partitionBy("town", "direction", "type"), F.nullif(F.col("unit"), F.lit(""))
+    told = told.withColumns({"_lo": F.min(unit).over(building), "_hi": F.max(unit).over(building)})
+    told = told.withColumn("unit", F.when((F.col("unit") == "") & (F.col("_lo") == F.col("_hi")), F.col("_lo")).otherwise(F.col("unit")))
+    told = told.select("rec", F.min("rec").over(Window.partitionBy("town", "direction", "type", "unit")).alias("place_id"))
+    placed = written(kinds.join(told, "rec").drop("rec"), "placed")
+    return housed.join(placed, ["house", *PARTS]).select("rec_id", "place_id")
 
 
 def variant_addresses(rows: DataFrame) -> DataFrame:

@@ -119,23 +119,44 @@ def test_same_places(spark):
     assert places.variant_addresses(df.limit(0)).count() == 0
 
 
-def test_doubt_past_the_fiftieth_record():
-    town = lambda city: (city, "12345", "", "ST", "")
-    cities = [*[f"ALPHA GAMMA W{i}" for i in range(50)], "ALPHA", "GAMMA"]
-    sides = [(c, "", side, "ST", "") for c in cities for side in "NS"]  # these put the others in doubt about the direction
-    records = [("", "12345", "", "", ""), *[town(c) for c in cities], *sides]
-    assert places.locations(records).count(0) == 1  # ALPHA and GAMMA contradict each other, so the first one is in doubt
+def located(spark, *cells):
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cells, 1)], "rec_id long, residential_address string, city string, zip_code string")
+    return [r[1] for r in sorted(map(tuple, places.same_places(df).collect()))]
+
+
+def test_a_part_in_doubt_unites_nobody(spark):
+    assert located(spark, ("9 Oak St", "Corvale", "64218"), ("9 Oak St", "Harkness", "64218"), ("9 Oak St", "", "64218")) == [1, 2, 3]
+    assert located(spark, ("9 Oak St", "Corvale", "64218"), ("9 Oak St", "Corvale", "70000"), ("9 Oak St", "Corvale", "")) == [1, 2, 3]
+    assert located(spark, ("9 Oak St", "Corvale", "64218"), ("9 Oak St", "CORVALLE", "64281"), ("9 Oak St", "Corvale", "")) == [1, 1, 1]
+    assert located(spark, ("9 N Oak St", "Corvale", "64218"), ("9 S Oak St", "Corvale", "64218"), ("9 Oak", "Corvale", "64218"), ("9 Oak St", "Corvale", "64218")) == [1, 2, 3, 3]
+    assert located(spark, ("9 N Oak St", "Corvale", "64218"), ("9 Oak", "Corvale", "64218"), ("9 Oak Rd", "Corvale", "64218")) == [1, 2, 3]
+    assert located(spark, ("9 Oak St", "Corvale", ""), ("9 Oak St", "corvale", ""), ("9 Oak St", "", ""), ("9 Oak St Apt 7", "Corvale", "")) == [1, 1, 3, 1]
+
+
+def test_many_kinds_of_one_house(spark):
+    from pyspark.sql import functions as F
+
+    kind = F.col("id") % 3
+    df = spark.range(60_000).select(
+        F.col("id").alias("rec_id"), F.when(kind == 0, F.concat(F.lit("9 Oak St Apt "), "id")).otherwise(F.lit("9 Oak St")).alias("residential_address"),
+        F.lit("Corvale").alias("city"), F.when(kind == 1, F.lpad(F.col("id").cast("string"), 5, "9")).otherwise(F.lit("64218")).alias("zip_code"),
+    )
+    assert places.same_places(df).count() == 60_000
+
+
+def meets(street):
+    return {int(x) for x in places.Banding().bands([street])[0]} | places.short_keys(street)
 
 
 def test_short_street_names_meet():
     for a, b in (("MAIN", "MIAN"), ("PARK", "PRAK"), ("MAPLE", "MALPE"), ("OAK HILL", "ELM HILL"), ("MAIN", "MAN"), ("ELM", "ELMWOOD")):
-        assert set(places.meets(a)) & set(places.meets(b)), (a, b)
+        assert meets(a) & meets(b), (a, b)
     rng = random.Random(6)
     for _ in range(300):
         a = [rng.choice("ABCDE") for _ in range(rng.randrange(4, 8))]
         b, i = list(a), rng.randrange(len(a) - 1)
         b[i], b[i + 1] = b[i + 1], b[i]
-        assert set(places.meets("".join(a))) & set(places.meets("".join(b)))
+        assert meets("".join(a)) & meets("".join(b))
 
 
 def test_form_links_of_many_rows():
