@@ -145,4 +145,14 @@ class Matcher:
             ways.append((self.part(a.middle, b.first), ways[0][1]))
         if ways[0][0] == 0 and self.part(a.first, b.middle) >= 2 and len(b.first) == 1 == len(b.first[0]):
             ways.append((self.part(a.first, b.middle), ways[0][1]))
+        x, y = a.first + a.middle + a.last, b.first + b.middle + b.last
+        if 3 <= len(x) == len(y) <= 6 and min(ways[0]) < 2 and (least := self.permuted(x, y)):
+            ways.append((least, least))
         return max(ways, key=lambda w: (min(w), sum(w)))
+
+    def permuted(self, a: tuple[str, ...], b: tuple[str, ...]) -> int:
+        """The least agreement under the best order of the words of ``b`` in which each agrees with its word of ``a``, else 0."""
+        if not a:
+            return 3
+        rest = ((v, b[:i] + b[i + 1 :]) for i, y in enumerate(b) if (v := self.word(a[0], y)) >= 2)
+        return max((min(v, self.permuted(a[1:], left)) for v, left in rest), default=0)

@@ -1,7 +1,7 @@
 """Variant spellings of one person's name: trie join, then a check of the candidates.
 
 1. Cells become name words by role (``name_parts``); rows alike in all that counts collapse into one record.
-2. The distinct words are sharded by length into tries and joined with themselves within a bounded edit distance
+2. The distinct words are sharded into tries by their pieces and joined with themselves within a bounded edit distance
    (``trie_join``); known short forms add their links.
 3. Two records are candidates if a word of one is a neighbour of a word of the other and they share a cell value that
    tells persons apart (number, date of birth, address ...).  The join key holds both, word and value, so neither a
@@ -16,19 +16,20 @@ from __future__ import annotations
 import re
 from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import with_dob
-from ..workspace import spread, written
+from ..workspace import small, spread, written
 from . import address_parts
 from .components import components
 from .name_parts import Matcher, Name, parsed, reach, tokens
-from .trie_join import Trie
+from .trie_join import Trie, asked_in, held_in
 
-SHARD = 50_000  # words of a trie at most
-ASKED = 4_000  # words that a task looks up at most
+ASKED = 100_000  # questions to tries that a task answers, or nearly so
+FEW = 100_000  # split shards up to this number are broadcast
 FORMS = 100_000  # most rows of short forms that are used as a whole
 
 IDS = ("drivers_license_number", "passport_number", "government_issued_id_number", "employee_identification_number")
@@ -130,38 +131,51 @@ def same_person(a: Person, b: Person, m: Matcher) -> bool:
     return (given >= 1 and family >= 2 or given >= 2 and family >= 1) and phone and (place or middle >= 2)
 
 
-def neighbours(words: DataFrame, most: int = SHARD) -> DataFrame:
+def neighbours(words: DataFrame, most: int = ASKED) -> DataFrame:
     """(word, near): all ordered pairs of distinct ``words`` within the edit distance that ``reach`` allows, each word
     with itself included.
 
-    Words are sharded by length, and within a length by hash so that no trie has much more than ``most`` words; a word
-    asks the shards of its own length and of the next longer ones (pairs are symmetric), and the questions to a length are
-    split by hash too, ASKED to a task, so that one frequent length is no large task.
+    Words are held in shards and ask shards (``trie_join``), a few of each per word.  A shard that more than ``most`` words ask is
+    split: its questions are salted and its words copied to each salt.  Shards share tasks by hash.
     """
-    sizes = {r[0]: r[1] for r in words.groupBy(F.length("word").alias("n")).count().collect()}  # one row per length
-    asked = {n: sum(sizes.get(m, 0) for m in range(n - 2, n + 1) if m + reach(m) >= n) for n in sizes}
-    if not sizes:
-        return words.select("word", F.col("word").alias("near"))
-    subs = F.create_map(*[F.lit(x) for n, c in sizes.items() for x in (n, -(-c // most))])
-    chunks = F.create_map(*[F.lit(x) for n, c in asked.items() for x in (n, -(-max(c, 1) // ASKED))])
-    size, key = F.length("word"), F.xxhash64("word")
-    tries = words.select("word", size.alias("n"), F.pmod(key, subs[size]).cast("int").alias("sub"), F.explode(F.sequence(F.lit(0), chunks[size] - 1)).alias("chunk"))
-    far = F.when(size < 3, 0).when(size < 8, 1).otherwise(2)
-    ask = words.select("word", F.explode(F.sequence(size, size + far)).alias("n")).where(subs[F.col("n")].isNotNull())
-    ask = ask.select("word", "n", F.explode(F.sequence(F.lit(0), subs[F.col("n")] - 1)).alias("sub"), F.pmod(F.xxhash64("word"), chunks[F.col("n")]).cast("int").alias("chunk"))
-
-    def run(trie: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(trie) and len(queries):
-            t, qs = Trie(list(trie["word"])), sorted(queries["word"])
-            for q, w, _ in t.near(qs, reach, batch=128):
-                out.append(pd.DataFrame({"word": [qs[i] for i in q], "near": [t.words[i] for i in w]}))
-        return pd.concat(out) if out else pd.DataFrame({"word": [], "near": []}, dtype=str)
-
-    keys = ["n", "sub", "chunk"]
-    found = tries.groupBy(*keys).cogroup(ask.groupBy(*keys)).applyInPandas(run, "word string, near string")
-    turned = found.where(F.col("word") != F.col("near")).select(F.col("near").alias("word"), F.col("word").alias("near"))
-    return found.unionByName(turned).distinct()
+
+    def keyed(keys):
+        def run(batches):
+            for pdf in batches:
+                got = [list(keys(w, reach)) for w in pdf["word"]]
+                yield pd.DataFrame({"word": pdf["word"].repeat([len(g) for g in got]).to_numpy(), "key": np.array([k for g in got for k in g], dtype=np.int64)})
+
+        return spread(words, "word").mapInPandas(run, "word string, key long")
+
+    held, asked = keyed(held_in), written(keyed(asked_in), "asked")
+    often = asked.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select("key", F.ceil(F.col("n") / most).cast("int").alias("salts"))
+    often = small(written(often, "often"), FEW)
+    tasks = F.lit(max(1, -(-asked.count() // most)))
+    asked = asked.join(often, "key", "left").withColumn("salt", F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64("word"), F.col("salts"))))
+    held = held.join(often, "key", "left").withColumn("salt", F.explode(F.when(F.col("salts").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("salts") - 1))))
+    task = F.pmod(F.xxhash64("key", F.col("salt").cast("int")), tasks).alias("task")
+    asked, held = asked.select("word", "key", task), held.select("word", "key", task)
+
+    def run(own: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        queries = queries[queries["key"].isin(own["key"])]
+        if not len(queries):
+            return pd.DataFrame({"word": [], "near": []}, dtype=str)
+        own = own[own["key"].isin(queries["key"])]
+        turned = lambda df: [w[::-1] if k & 1 else w for w, k in zip(df["word"], df["key"])]
+        keys = np.sort(own["key"].unique())
+        rows = sorted(set(zip(np.searchsorted(keys, own["key"].to_numpy()).tolist(), turned(own))))
+        shard, texts = np.array([s for s, _ in rows]), [w for _, w in rows]
+        of, asks = np.searchsorted(keys, queries["key"].to_numpy()), turned(queries)
+        backwards = keys & 1
+        out = set()
+        for q, w, _ in Trie(texts, shard).near(asks, of, reach):
+            turn = backwards[of[q]].tolist()
+            out.update((asks[i][::-1], texts[j][::-1]) if t else (asks[i], texts[j]) for i, j, t in zip(q.tolist(), w.tolist(), turn))
+        return pd.DataFrame(list(out), columns=["word", "near"])
+
+    found = held.groupBy("task").cogroup(asked.groupBy("task")).applyInPandas(run, "word string, near string").where(F.col("word") != F.col("near"))
+    turned = found.select(F.col("near").alias("word"), F.col("word").alias("near"))
+    return found.unionByName(turned).unionByName(words.select("word", F.col("word").alias("near"))).distinct()
 
 
 def form_links(matcher: Matcher) -> list[tuple[str, str]]:

@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from rowkin.llm import address_parts, name_parts, names, places
-from rowkin.llm.trie_join import Trie
+from rowkin.llm.trie_join import Trie, asked_in, held_in
 
 
 def words(seed, n):
@@ -18,18 +19,40 @@ def brute(ws):
     return {(a, b) for a in ws for b in ws if name_parts.edits(a, b, k(min(len(a), len(b)))) <= k(min(len(a), len(b)))}
 
 
-def test_trie_equals_brute_force():
-    ws = words(1, 300)
-    trie, got = Trie(ws), set()
-    for q, w, d in trie.near(ws, name_parts.reach, batch=64):
-        got |= {(ws[a], trie.words[b]) for a, b in zip(q, w)}
-    k = name_parts.reach
+def test_forest_equals_brute_force():
+    ws, k = words(1, 300), name_parts.reach
+    lens = np.array([len(w) for w in ws])
+    shard = np.sort(lens) - 1
+    held = sorted(ws, key=lambda w: (len(w), w))
+    trie, got = Trie(held, shard), set()
+    for m in range(1, 11):  # every word asks the tree of every length
+        for q, w, d in trie.near(ws, np.full(len(ws), m - 1), k, batch=64):
+            got |= {(ws[a], held[b]) for a, b in zip(q, w)}
     assert got == {(a, b) for a in ws for b in ws if name_parts.edits(a, b, k(len(a))) <= k(len(a))}
-    assert not list(Trie([]).near(["abc"], k)) and not list(Trie(["abc"]).near([], k))
+    none = np.empty(0, dtype=np.int64)
+    assert not list(Trie(["abc"], np.array([0])).near([], none, k))
+
+
+def edited(rng, w):
+    i, kind = rng.randrange(len(w)), rng.randrange(4)
+    if kind == 3:
+        return w[:i] + w[i + 1 : i + 2] + w[i : i + 1] + w[i + 2 :]
+    return w[:i] + ("" if kind == 0 else rng.choice("abcdefgh")) + w[i + (kind < 2) :]
+
+
+def test_neighbours_share_a_shard():
+    rng = random.Random(3)
+    for _ in range(20_000):
+        a = "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 13)))
+        b = edited(rng, a)
+        b = edited(rng, b) if len(b) > 8 and len(a) > 7 else b
+        a, b = sorted((a, b), key=len)
+        k = name_parts.reach(len(a))
+        if k and name_parts.edits(a, b, k) <= k:
+            assert asked_in(a, name_parts.reach) & held_in(b, name_parts.reach), (a, b)
 
 
-def test_sharded_join_equals_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(names, "ASKED", 20)
+def test_sharded_join_equals_brute_force(spark):
     ws = words(2, 250)
     got = names.neighbours(spark.createDataFrame([(w,) for w in ws], "word string"), most=30)
     assert {(r[0], r[1]) for r in got.collect()} == brute(ws)
