@@ -8,7 +8,7 @@
 3. Candidates are verified by affine-gap alignment of their words, where a substitution costs little between an
    abbreviation or a typo and its word, and a gap costs little once it is open.
 4. Linked spellings are consolidated (``components``) into houses.  Within each, towns that are fully stated are linked by
-   equality joins (one zip and like cities, one city and zips one edit apart) and consolidated; a town that lacks city or zip is
+   equality joins on keys (one zip and like cities, one city and zips one edit apart) and consolidated; a town that lacks city or zip is
    the only one that it fits, or stays apart.
 5. Within a house of one town a missing direction, type or unit is the only one that is known there; where there are
    several, the record is in doubt and unites with nobody but those that say the same.
@@ -34,6 +34,7 @@ from .names import same_group_pairs
 from .words import Numbers
 
 BANDS = 32
+CITY_BANDS = 12
 ROWS = 2
 Q = 3
 SHORT = 8  # words up to this length also meet by one edit
@@ -109,14 +110,13 @@ class Banding:
             out = _mixed(out ^ sig[:, :, r])
         return out
 
-    def keys(self, groups: list[str], spellings: list[str], by_word: bool = True, most: int = 1000) -> tuple[np.ndarray, np.ndarray]:
-        """The place of a spelling in the list and one of its keys within its group, for all its keys; without ``by_word``
-        only keys of the whole spelling."""
+    def keys(self, groups: list[str], spellings: list[str], most: int = 1000) -> tuple[np.ndarray, np.ndarray]:
+        """The place of a spelling in the list and one of its keys within its group, for all its keys."""
         places, keys = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.uint64)]
         for a in range(0, len(spellings), most):
             own = spellings[a : a + most]
             group = np.array([xxhash.xxh64_intdigest(g, seed=1) for g in groups[a : a + most]], dtype=np.uint64)
-            short = [short_keys(x) if by_word else _run_keys("".join(sorted(x.split()))) for x in own]
+            short = [short_keys(x) for x in own]
             n = np.fromiter(map(len, short), dtype=np.int64, count=len(short))
             at = np.repeat(np.arange(len(own)), n)
             flat = np.fromiter(chain.from_iterable(short), dtype=np.uint64, count=n.sum())
@@ -192,13 +192,13 @@ def same_zip(a: str, b: str) -> bool:
 PARTS = ("city", "zip", "direction", "type", "unit")
 
 
-def _met(spelled: DataFrame, group: str, text: str, own: str, by_word: bool = True) -> DataFrame:
+def _met(spelled: DataFrame, group: str, text: str, own: str) -> DataFrame:
     """(a, b), a < b: ids ``own`` of spellings that share a key within their ``group``."""
 
     def run(batches):
         banding = Banding()
         for pdf in batches:
-            at, key = banding.keys(list(pdf[group]), list(pdf[text]), by_word)
+            at, key = banding.keys(list(pdf[group]), list(pdf[text]))
             yield pd.DataFrame({"id": pdf[own].to_numpy()[at], "key": key})
 
     keyed = spread(spelled.select(own, group, text), own).mapInPandas(run, "id long, key long")
@@ -217,47 +217,65 @@ def _verified(met: DataFrame, spelled: DataFrame, text: str, own: str, test) ->
     return both.mapInPandas(run, "a long, b long")
 
 
-def _like_cities(towns: DataFrame, group: str, test, by_word: bool = True) -> DataFrame:
-    """(group, city, other), both ways: distinct cities of one ``group`` that stand the ``test``, each with itself included."""
-    each = written(towns.where("city <> ''").groupBy(group, "city").agg(F.min("t").alias("c")), "cities")
-    links = _verified(_met(each, group, "city", "c", by_word), each, "city", "c", test)
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(each.select(F.col("c").alias("a"), F.col("c").alias("b")))
-    name = lambda c, n, *more: each.select(F.col("c").alias(c), F.col("city").alias(n), *more)
-    return both.join(name("a", "city", group), "a").join(name("b", "other"), "b").select(group, "city", "other")
+def _city_keys(towns: DataFrame) -> DataFrame:
+    """(city, key): keys of which cities that are alike share one, each distinct city's once."""
 
+    def run(batches):
+        banding = Banding()
+        for pdf in batches:
+            cities = list(pdf["city"])
+            some = banding.bands(cities)[:, :CITY_BANDS].astype(np.uint64).view(np.int64).tolist() if cities else []
+            got = [{*b, *(k - (1 << 63) for k in short_keys(c) | _run_keys("".join(sorted(c.split()))))} for b, c in zip(some, cities)]
+            yield pd.DataFrame({"city": pdf["city"].repeat([len(g) for g in got]).to_numpy(), "key": np.array([k for g in got for k in g], dtype=np.int64)})
 
-def _zip_pairs(full: DataFrame, same: DataFrame) -> DataFrame:
-    """(a, b): towns of one house whose cities are the same, typos and abbreviations aside, and whose zips are one edit apart."""
-    less = F.transform(F.sequence(F.lit(1), F.length("zip")), lambda i: F.concat(F.expr("zip").substr(F.lit(1), i - 1), F.expr("zip").substr(i + 1, F.lit(99))))
-    keyed = full.select("house", "city", F.explode(F.array_union(F.array("zip"), less)).alias("k"), "t")
-    others = keyed.select("house", F.col("city").alias("other"), "k", F.col("t").alias("b"))
-    met = keyed.withColumnRenamed("t", "a").join(same, "city").join(others, ["house", "other", "k"]).where("a < b").select("a", "b").distinct()
-    return _verified(met, full, "zip", "t", same_zip)
+    return towns.where("city <> ''").select("city").distinct().mapInPandas(run, "city string, key long")
+
+
+def _tested(met: DataFrame, test) -> DataFrame:
+    """(a, b) of the pairs (a, b, ca, za, cb, zb) whose towns stand the ``test``."""
+
+    def run(batches):
+        for pdf in batches:
+            keep = [test(*row) for row in zip(pdf["ca"], pdf["za"], pdf["cb"], pdf["zb"])]
+            yield pdf[["a", "b"]][pd.Series(keep, index=pdf.index, dtype=bool)]
+
+    return met.mapInPandas(run, "a long, b long")
+
+
+def _several(towns: DataFrame, *keys: str) -> DataFrame:
+    return towns.join(towns.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), list(keys), "left_semi")
 
 
 def town_classes(towns: DataFrame) -> DataFrame:
     """(house, city, zip, town) for distinct (house, city, zip) with an id t: the same ``town`` for what is one town of a house.
 
-    Fully stated towns are one if they have one zip and like cities, or the same city and zips one edit apart, also through others.  One
-    without zip is the only one whose city it has, typos and abbreviations aside; one without city the only one of its zip.
-    With several to choose from it stays apart; without any it meets only others without zip.
+    Fully stated towns are one if they have one zip and like cities, or the same city, typos aside, and zips one edit apart, also
+    through others.  One without zip is the only one whose city it has, typos and abbreviations aside; one without city the
+    only one of its zip.  With several to choose from it stays apart; without any it meets only others without zip.
+    Only towns of one house that share a key meet (of the city, or the zip less one sign), so a house in many towns makes few pairs.
     """
+    keys = written(_city_keys(towns), "city-keys")
     full, bare, coded = towns.where("city <> '' and zip <> ''"), towns.where("city <> '' and zip = ''"), towns.where("city = '' and zip <> ''")
-    to = lambda df, t: df.select("house", F.col("city").alias("other"), F.col("t").alias(t))
-    alike = written(_like_cities(full, "zip", like_city).where("city < other"), "like-cities")
-    one_zip = full.select("house", "zip", "city", F.col("t").alias("a")).join(alike, ["zip", "city"])
-    one_zip = one_zip.join(full.select("house", "zip", F.col("city").alias("other"), F.col("t").alias("b")), ["house", "zip", "other"]).select("a", "b")
-    everywhere = towns.withColumn("all", F.lit(""))
-    same = written(_like_cities(everywhere, "all", same_city, False).select("city", "other"), "same-cities")
-    asked = bare.select("house", "city", F.col("t").alias("p")).join(same, "city").select("house", "other", "p")
-    named = written(asked.join(to(full, "t"), ["house", "other"]).select("p", "t"), "named-towns")
-    lone = bare.join(named.select(F.col("p").alias("t")).distinct(), "t", "left_anti")
-    apart = lone.select("house", "city", F.col("t").alias("a")).join(same, "city").join(to(lone, "b"), ["house", "other"]).where("a < b").select("a", "b")
-    edges = written(one_zip.unionByName(_zip_pairs(full, same)).unionByName(apart), "town-edges")
-    classes = components(edges, "a", "b").select(F.col("rec_id").alias("t"), "group_id")
+    side = lambda df, x, *on: df.select(*on, F.col("t").alias(x), F.col("city").alias("c" + x), F.col("zip").alias("z" + x))
+    pairs = lambda df, *on: side(df, "a", *on).join(side(df, "b", *on), list(on)).where("a < b").select("a", "b", "ca", "za", "cb", "zb").distinct()
+    in_zip = pairs(_several(full, "house", "zip").join(keys, "city"), "house", "zip", "key")
+    less = F.transform(F.sequence(F.lit(1), F.length("zip")), lambda i: F.concat(F.expr("zip").substr(F.lit(1), i - 1), F.expr("zip").substr(i + 1, F.lit(99))))
+    near_zip = pairs(_several(full, "house").withColumn("k", F.explode(F.array_union(F.array("zip"), less))), "house", "k").where("za <> zb")
+    of_bare = bare.select("house").distinct()
+    asked = side(bare.join(keys, "city"), "a", "house", "key")
+    held = side(towns.where("city <> ''").join(of_bare, "house", "left_semi").join(keys, "city"), "b", "house", "key")
+    named = asked.join(held, ["house", "key"]).where("a <> b").select("a", "b", "ca", "za", "cb", "zb").distinct()
+    named = written(_tested(named, lambda ca, za, cb, zb: same_city(ca, cb)).join(towns.select(F.col("t").alias("b"), (F.col("zip") != "").alias("full")), "b"), "named-towns")
+    known = named.where("full").select(F.col("a").alias("p"), F.col("b").alias("t"))
+    tied = known.select(F.col("p").alias("t")).distinct()
+    apart = named.where("not full and a < b").select("a", "b")
+    for x in ("a", "b"):
+        apart = apart.join(tied.withColumnRenamed("t", x), x, "left_anti")
+    one = _tested(in_zip, lambda ca, za, cb, zb: like_city(ca, cb)).unionByName(_tested(near_zip, lambda ca, za, cb, zb: same_zip(za, zb) and same_city(ca, cb)))
+    classes = components(one.unionByName(apart.select("a", "b")), "a", "b").select(F.col("rec_id").alias("t"), "group_id")
     own = written(towns.join(classes, "t", "left").select("house", "city", "zip", "t", F.coalesce("group_id", "t").alias("town")), "town-classes")
     zoned = coded.select("house", "zip", F.col("t").alias("p")).join(own.where("city <> '' and zip <> ''").select("house", "zip", "t"), ["house", "zip"]).select("p", "t")
-    only = named.unionByName(zoned).join(own.select("t", "town"), "t").groupBy("p").agg(F.min("town").alias("lo"), F.max("town").alias("hi")).where("lo = hi")
+    only = known.unionByName(zoned).join(own.select("t", "town"), "t").groupBy("p").agg(F.min("town").alias("lo"), F.max("town").alias("hi")).where("lo = hi")
     return own.join(only.select(F.col("p").alias("t"), "lo"), "t", "left").select("house", "city", "zip", F.coalesce("lo", "town").alias("town"))
 
 
