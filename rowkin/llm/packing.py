@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..workspace import spread, written
+from ..workspace import dropped, spread, written
 
 CAPACITY = 2048
 TOKENIZERS = "/opt/tokenizers"
@@ -109,7 +109,8 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, folder: str = TOKENIZERS,
     are packed each; ties of size go by doc_id; a null doc_id or an empty table gives no row; other columns are ignored.
     """
     spark = docs.sparkSession
-    pieces = token_counts(docs, folder, name).select(
+    counts = written(token_counts(docs, folder, name), "tokens")  # else the sample for the ranges counts a second time
+    pieces = counts.select(
         "doc_id",
         F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("n_tokens") / capacity) - 1).cast("int"))).alias("piece"),
         "n_tokens",
@@ -121,6 +122,7 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, folder: str = TOKENIZERS,
     order = [F.desc("n_tokens"), "doc_id", "piece"]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kept = written(pieces.repartitionByRange(parts, *order).sortWithinPartitions(*order), "pieces")
+    dropped(counts)
     sizes = {r[0]: r[1] for r in kept.groupBy("n_tokens").count().collect()}  # at most capacity + 1 rows
     moves, containers = sweep(sizes, capacity)
     containers = max(containers, 1)
