@@ -67,7 +67,8 @@ def components(pairs: DataFrame, a: str = "rec_a", b: str = "rec_b") -> DataFram
     # later rounds know only roots of earlier ones: compose from the last, smallest map back to the first
     out = maps[-1]
     for earlier in reversed(maps[:-1]):
-        out = earlier.join(_side(out), F.col("p") == F.col("v2"), "left").select("v", F.coalesce("p2", "p").alias("p"))
+        heavy = heavy_keys(earlier, "p", earlier.count())
+        out = lookup(earlier, "p", _side(out), "v2", heavy=heavy).select("v", F.coalesce("p2", "p").alias("p"))
     return out.select(F.col("v").alias("rec_id"), F.col("p").alias("group_id"))
 
 
