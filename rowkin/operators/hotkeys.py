@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..workspace import written
+from ..workspace import dropped, written
 
 CHUNKS = 4096
 
@@ -40,7 +40,9 @@ def key_rollup(rows: DataFrame, key: Column, person: Column, received: Column, r
     ).where(F.col("key_value") != "")
     order = ["key_value", "person", "row_id"]
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slim = written(slim, "keys")  # else the sample for the ranges computes the keys a second time
     kept = written(slim.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("row_id"), "hotkeys")
+    dropped(slim)
     placed = kept.select(
         "*",
         F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("int").alias("file"),

@@ -8,6 +8,7 @@ only where that setting is absent (tests, laptops).
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -19,11 +20,16 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is configured."""
+    """The cluster's shared folder; a temporary one only where none is configured and everything runs in one process.
+
+    On a cluster without ``spark.checkpoint.dir`` this raises: executors would write to folders of their own.
+    """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if sc.applicationId not in _own:
         path = _own[sc.applicationId] = tempfile.mkdtemp(prefix="rowkin-")
         sc.setCheckpointDir(path)
@@ -36,26 +42,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as parquet in the shared folder and read it again: a reliable lineage cut."""
+    """Write ``df`` as parquet in the shared folder and read it again: a reliable lineage cut.
+
+    Each task writes one file, whatever the session says, so a file's number and its row index number its rows.  What is not
+    dropped before goes when the application's file system is closed.
+    """
     path = f"{shared_dir(df.sparkSession)}/rowkin-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", 0).parquet(path)
+    hadoop, fs = _file_system(df.sparkSession, path)
+    fs.deleteOnExit(hadoop)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._rowkin_path = path
     return out
 
 
-def dropped(df: DataFrame | None) -> None:
-    """Delete a table of :func:`written` that nothing reads any more."""
-    path = getattr(df, "_rowkin_path", None)
-    if path:
-        jvm = df.sparkSession.sparkContext._jvm
-        hadoop = jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+def _file_system(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(sc._jsc.hadoopConfiguration())
+
+
+def dropped(*tables: DataFrame | None) -> None:
+    """Delete tables of :func:`written` that nothing reads any more."""
+    for df in tables:
+        if path := getattr(df, "_rowkin_path", None):
+            hadoop, fs = _file_system(df.sparkSession, path)
+            fs.delete(hadoop, True)
+
+
+SMALL_BYTES = 64_000_000
 
 
-def small(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else as it is (Spark then shuffles)."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def small(df: DataFrame, max_rows: int, max_bytes: int = SMALL_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``max_rows`` rows and ``max_bytes`` bytes of text, else as it is (Spark then shuffles)."""
+    size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))) if df.columns else F.lit(0)
+    n, total = df.limit(max_rows + 1).agg(F.count(F.lit(1)), size).first()
+    return F.broadcast(df) if n <= max_rows and (total or 0) <= max_bytes else df
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
