@@ -7,30 +7,49 @@ from pyspark.sql import functions as F
 
 from .text import col, squeezed
 
-# Shapes of a date cell, and the notations tried in order for each.
+# Shapes of a date cell in plain form (see ``_plain``), and the notations tried in order for each.
 FORMATS = (
     (r"^\d{1,2}/\d{1,2}/\d{4}$", ("M/d/yyyy", "d/M/yyyy")),
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", ("yyyy-M-d",)),
     (r"^\d{4}/\d{1,2}/\d{1,2}$", ("yyyy/M/d",)),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", ("M-d-yyyy",)),
-    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", ("d-MMM-yyyy",)),
     (r"^\d{1,2} [A-Za-z]{3} \d{4}$", ("d MMM yyyy",)),
-    (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", ("MMM d, yyyy",)),
-    (r"^[A-Za-z]{4,9} \d{1,2}, \d{4}$", ("MMMM d, yyyy",)),
+    (r"^[A-Za-z]{3} \d{1,2} \d{4}$", ("MMM d yyyy",)),
+    (r"^\d{4} [A-Za-z]{3} \d{1,2}$", ("yyyy MMM d",)),
     (r"^\d{8}$", ("yyyyMMdd",)),
 )
+TIME = r"[T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?( ?[AaPp][Mm])?( ?(Z|UTC|[+-]\d{2}:?\d{2}))?$"
+MONTH = r"(?i)\b(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)(?:uary|ruary|ch|il|e|y|ust|t|tember|ober|ember)?\b"
+WEEKDAY = r"(?i)^(?:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?\.?,? (?=.*\d)"
+CENTURY = 69  # two-digit years from this one on are of the last century
+
 SERIAL = r"^\d{1,6}(\.\d+)?$"
 SERIAL_MAX = 60000
 YEAR_FLOOR = 1900
 
 
+def _plain(text: Column) -> Column:
+    """A squeezed cell without time and weekday; months as three letters between blanks, numbers between slashes, and years of
+    four digits.  The commonest notation stays as it is without further work."""
+    t = F.regexp_replace(F.regexp_replace(text, TIME, ""), WEEKDAY, "")
+    named = F.regexp_replace(F.regexp_replace(F.regexp_replace(t, r"(?i)(\d)(?:st|nd|rd|th)\b", "$1"), MONTH, "$1"), r"[-/,. ]+", " ")
+    t = F.when(t.rlike(MONTH), F.trim(named)).when(t.rlike(r"^\d{1,4}([-/.])\d{1,2}\1\d{1,4}$"), F.translate(t, "-.", "//")).otherwise(t)
+    short = r"^(\d{1,2}/\d{1,2}/|\d{1,2} [A-Za-z]{3} |[A-Za-z]{3} \d{1,2} )(\d{2})$"
+    year = lambda x: F.when(F.substring(x, -2, 2).cast("int") >= CENTURY, F.lit("19")).otherwise(F.lit("20"))
+    long = lambda x: F.when(x.rlike(short), F.concat(F.regexp_extract(x, short, 1), year(x), F.substring(x, -2, 2))).otherwise(x)
+    return F.when(text.rlike(FORMATS[0][0]), text).otherwise(F.get(F.transform(F.array(t), long), 0))
+
+
 def _date(text: Column) -> Column:
-    """The date of squeezed text: a spreadsheet serial number first, then FORMATS; null if none fits."""
+    """The date of squeezed text: a spreadsheet serial number first, then FORMATS of its plain form; null if none fits."""
     n = text.cast("double")
-    out = F.when(text.rlike(SERIAL), F.when((n >= 1) & (n <= SERIAL_MAX), F.date_add(F.to_date(F.lit("1899-12-30")), F.floor(n).cast("int"))))
-    for shape, forms in FORMATS:
-        out = out.when(text.rlike(shape), F.coalesce(*[F.try_to_timestamp(text, F.lit(x)) for x in forms]).cast("date"))
-    return out
+
+    def told(plain: Column) -> Column:
+        out = F.when(F.lit(False), F.lit(None).cast("date"))
+        for shape, forms in FORMATS:
+            out = out.when(plain.rlike(shape), F.coalesce(*[F.try_to_timestamp(plain, F.lit(x)) for x in forms]).cast("date"))
+        return out
+
+    serial = F.when((n >= 1) & (n <= SERIAL_MAX), F.date_add(F.to_date(F.lit("1899-12-30")), F.floor(n).cast("int")))
+    return F.when(text.rlike(SERIAL), serial).otherwise(F.get(F.transform(F.array(_plain(text)), told), 0))
 
 
 def parsed_date(c: Column | str) -> Column:

@@ -122,15 +122,16 @@ def shared_keys(rows: DataFrame, levels: list[int]) -> DataFrame:
     return flat.groupBy("level", *NAME, "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def clusters(rows: DataFrame, profile: Profile = PROFILES["vf3"]) -> DataFrame:
-    """(idx, root) of every known row, under all levels of the profile."""
+def _worked(rows: DataFrame, profile: Profile) -> tuple[DataFrame, DataFrame]:
+    """(idx, root) before the levels that depend on order, and what these do: (root, top) of moved rows, or else the unions that
+    each guard refused in one name."""
     rows = level_keys(rows, profile)
     ids = [n for n, _ in profile.id_levels]
     closed = not (profile.middle_guard or profile.masked_ssn_confirms)
     levels = ids if closed else [1, 2, *ids]
     base = level12(rows) if closed else rows.select("idx", *NAME, F.col("idx").alias("root"), F.col("ssn").alias("g_ssn"), F.col("dob").alias("g_dob"))
     names = shared_keys(rows, levels).select(*NAME).distinct()
-    slim = rows.select("idx", "ssn", "dob", "mid", *[f"k{n}" for n in levels]).join(base, "idx").join(names, NAME, "left_semi")
+    slim = rows.select("idx", "ssn", "dob", "mid", *[F.array_sort(f"k{n}").alias(f"k{n}") for n in levels]).join(base, "idx").join(names, NAME, "left_semi")
     # rows alike in all that the levels read do the same as their first one
     alike = [*NAME, "root", "g_ssn", "g_dob", "ssn", "dob", "mid", *[f"k{n}" for n in levels]]
     size = base.groupBy("root").agg((F.count(F.lit(1)) > 1).alias("locked"))
@@ -147,14 +148,29 @@ def clusters(rows: DataFrame, profile: Profile = PROFILES["vf3"]) -> DataFrame:
             for own in pdf["rows"]:
                 own = [dict(r) for r in own]
                 start = {r["root"]: (r["g_ssn"], r["g_dob"], r["locked"]) for r in own} if closed else None
-                final, _ = greedy(own, levels, profile, start)
-                out += {(r["root"], final[r["idx"]]) for r in own if r["root"] != final[r["idx"]]}
-            yield pd.DataFrame(out, columns=["root", "top"])
+                final, refused = greedy(own, levels, profile, start)
+                out += [(root, top, None, None, None) for root, top in {(r["root"], final[r["idx"]]) for r in own if r["root"] != final[r["idx"]]}]
+                if any(refused.values()):
+                    out.append((None, None, refused["lock"], refused["ssn"], refused["dob"]))
+            yield pd.DataFrame(out, columns=["root", "top", "by_lock", "by_ssn", "by_dob"], dtype="Int64")
+
+    return base, grouped.select("rows").mapInPandas(run, "root long, top long, by_lock long, by_ssn long, by_dob long")
+
 
-    moved = grouped.select("rows").mapInPandas(run, "root long, top long")
+def clusters(rows: DataFrame, profile: Profile = PROFILES["vf3"]) -> DataFrame:
+    """(idx, root) of every known row, under all levels of the profile."""
+    base, worked = _worked(rows, profile)
+    moved = worked.where("root is not null").select("root", "top")
     return base.join(moved, "root", "left").select("idx", F.coalesce("top", "root").alias("root"))
 
 
+def refusals(rows: DataFrame, profile: Profile = PROFILES["vf3"]) -> DataFrame:
+    """(guard, n): pairs of different kinds of rows that a level matches but a guard keeps apart: 'lock' both groups are of
+    earlier levels, 'ssn' or 'dob' they have different ones.  The first guard that refuses counts."""
+    each = F.array(*[F.struct(F.lit(g).alias("guard"), F.coalesce(F.sum(f"by_{g}"), F.lit(0)).alias("n")) for g in ("lock", "ssn", "dob")])
+    return _worked(rows, profile)[1].agg(each.alias("g")).select(F.explode("g").alias("g")).select("g.guard", "g.n")
+
+
 def hot_buckets(rows: DataFrame, profile: Profile = PROFILES["vf3"], k: int = 5) -> DataFrame:
     """(level, rank, n): sizes of the k largest blocking buckets of each level, without their values."""
     from pyspark.sql import Window

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,22 +69,42 @@ def sql_text(c: str) -> str:
     return f"CASE WHEN upper({sql_squeezed(c)}) IN ('NAN','NONE','NULL') THEN '' ELSE upper({sql_squeezed(c)}) END"
 
 
+# Stated apart from the list of functions.text.
+_NO_NAMES = ("UNKNOWN", "UNK", "UNKN", "NA", "NONE", "NULL", "NIL", "XXX", "XX", "X", "NMN", "NONAME", "NOTGIVEN", "NOTPROVIDED")
+
+
 def sql_name(c: str) -> str:
     core = f"regexp_replace({sql_text(c)}, '[^A-Z0-9]', '', 'g')"
-    return f"CASE WHEN {core} IN ('', {', '.join(repr(x) for x in text.NAME_PLACEHOLDERS)}) THEN '' ELSE {sql_text(c)} END"
+    return f"CASE WHEN {core} IN ('', {', '.join(repr(x) for x in _NO_NAMES)}) THEN '' ELSE {sql_text(c)} END"
+
+
+# Shapes and notations as the SQL reads them, stated apart from those of functions.dates.
+_SQL_DATES = (
+    ("\\d{1,2}/\\d{1,2}/\\d{4}", ("%m/%d/%Y", "%d/%m/%Y")),
+    ("\\d{4}-\\d{1,2}-\\d{1,2}", ("%Y-%m-%d",)),
+    ("\\d{4}/\\d{1,2}/\\d{1,2}", ("%Y/%m/%d",)),
+    ("\\d{1,2}-\\d{1,2}-\\d{4}", ("%m-%d-%Y", "%d-%m-%Y")),
+    ("\\d{1,2}\\.\\d{1,2}\\.\\d{4}", ("%m.%d.%Y", "%d.%m.%Y")),
+    ("\\d{1,2}/\\d{1,2}/\\d{2}", ("%m/%d/%y", "%d/%m/%y")),
+    ("\\d{1,2}-\\d{1,2}-\\d{2}", ("%m-%d-%y", "%d-%m-%y")),
+    ("\\d{1,2}-[A-Za-z]{3}-\\d{4}", ("%d-%b-%Y",)),
+    ("\\d{1,2}-[A-Za-z]{3}-\\d{2}", ("%d-%b-%y",)),
+    ("\\d{1,2} [A-Za-z]{3} \\d{4}", ("%d %b %Y",)),
+    ("\\d{1,2} [A-Za-z]{4,9} \\d{4}", ("%d %B %Y",)),
+    ("[A-Za-z]{3}\\.? \\d{1,2},? \\d{4}", ("%b %d, %Y", "%b %d %Y", "%b. %d, %Y", "%b. %d %Y")),
+    ("[A-Za-z]{4,9} \\d{1,2},? \\d{4}", ("%B %d, %Y", "%B %d %Y")),
+    ("\\d{8}", ("%Y%m%d",)),
+)
+_SQL_TIME = "[T ][0-9]{1,2}:[0-9]{2}(:[0-9]{2}(\\.[0-9]+)?)?( ?[AaPp][Mm])?( ?(Z|UTC|[+-][0-9]{2}:?[0-9]{2}))?$"
 
 
 def sql_date(c: str) -> str:
-    """The date of a cell as in functions.dates.parsed_date."""
+    """The date of a cell."""
     t = sql_squeezed(c)
-    of = {"M": "%m", "d": "%d", "yyyy": "%Y", "MMM": "%b", "MMMM": "%B"}
+    day = f"regexp_replace({t}, '{_SQL_TIME}', '')"
     serial = f"CASE WHEN regexp_full_match({t}, '\\d{{1,6}}(\\.\\d+)?') AND TRY_CAST({t} AS DOUBLE) BETWEEN 1 AND 60000 THEN DATE '1899-12-30' + CAST(floor(TRY_CAST({t} AS DOUBLE)) AS INT) END"
-    tries = [serial]
-    for shape, forms in dates.FORMATS:
-        for form in forms:
-            pattern = "%Y%m%d" if form == "yyyyMMdd" else "".join(of.get(p, p) for p in re.split(r"([A-Za-z]+)", form))
-            tries.append(f"CASE WHEN regexp_matches({t}, '{shape}') THEN CAST(try_strptime({t}, '{pattern}') AS DATE) END")
-    return f"coalesce({', '.join(tries)})"
+    tries = [f"CASE WHEN regexp_full_match({day}, '{shape}') THEN CAST(try_strptime({day}, {list(forms)}) AS DATE) END" for shape, forms in _SQL_DATES]
+    return f"coalesce({serial}, {', '.join(tries)})"
 
 
 def sql_dob(c: str) -> str:

@@ -264,7 +264,44 @@ for _n in range(1, 7):
     _links(_n)
 
 
-@query()
+def _each(expr) -> str:
+    return "\nUNION ALL ".join(expr(n) for n, _ in VF3.id_levels)
+
+
+def _differ(a: str, b: str) -> str:
+    return f"({a} <> '' AND {b} <> '' AND {a} <> {b})"
+
+
+def _put(c: str, at: str, value: str) -> str:
+    return f"CASE WHEN ok THEN list_concat({c}[1:{at} - 1], [{value}], {c}[{at} + 1:]) ELSE {c} END AS {c}"
+
+
+# p: the known rows with ``top``, the root of all levels.  For every name that shares a token, rt lists its roots and what is known
+# of each; the pairs of rows come in the order of level and row numbers, and st takes one pair of every name a step.
+# ``since`` is the level at which a root was last enlarged first (0: at levels 1 and 2, 100: never): it is locked at later levels.
+ALL_LEVELS = sql_rows(L12).replace("WITH z", "WITH RECURSIVE z", 1) + f""",
+gk AS (SELECT min(idx) AS idx, first, last, root, ssn, dob, {', '.join(f'i{n} AS ids{n}' for n, _ in VF3.id_levels)}
+  FROM (SELECT *, {', '.join(f'list_sort(ids{n}) AS i{n}' for n, _ in VF3.id_levels)} FROM g) x GROUP BY first, last, root, ssn, dob, mid, {', '.join(f'i{n}' for n, _ in VF3.id_levels)}),
+e AS ({_each(lambda n: f"SELECT idx, first, last, root, ssn, dob, {n} AS level, unnest(ids{n}) AS key FROM gk")}),
+pr AS (SELECT DISTINCT a.first, a.last, a.level, a.idx AS ia, b.idx AS ib, a.root AS xa, b.root AS xb FROM e a JOIN e b ON a.first = b.first AND a.last = b.last AND a.level = b.level
+  AND a.key = b.key AND a.idx < b.idx AND a.root <> b.root AND NOT {_differ('a.ssn', 'b.ssn')} AND NOT {_differ('a.dob', 'b.dob')}),
+rt AS (SELECT first, last, list(root ORDER BY root) AS roots, list(gs ORDER BY root) AS ssns, list(gd ORDER BY root) AS dobs, list(since ORDER BY root) AS since
+  FROM (SELECT first, last, root, max(gs) AS gs, max(gd) AS gd, CASE WHEN count(*) > 1 THEN 0 ELSE 100 END AS since FROM g GROUP BY first, last, root) x
+  WHERE (first, last) IN (SELECT (first, last) FROM pr) GROUP BY first, last),
+sq AS (SELECT first, last, level, list_position(roots, xa) AS pa, list_position(roots, xb) AS pb, row_number() OVER (PARTITION BY first, last ORDER BY level, ia, ib) AS k FROM pr JOIN rt USING (first, last)),
+st AS (SELECT first, last, CAST(0 AS BIGINT) AS k, CAST(range(1, len(roots) + 1) AS BIGINT[]) AS own, ssns, dobs, since, '' AS refused FROM rt
+ UNION ALL SELECT first, last, k2, CASE WHEN ok THEN list_transform(own, lambda r: CASE WHEN r = hi THEN lo ELSE r END) ELSE own END,
+  {_put('ssns', 'lo', "coalesce(nullif(ssns[lo], ''), ssns[hi])")}, {_put('dobs', 'lo', "coalesce(nullif(dobs[lo], ''), dobs[hi])")}, {_put('since', 'lo', 'least(since[lo], since[hi], level)')},
+  CASE WHEN ra = rb OR ok THEN '' WHEN since[ra] < level AND since[rb] < level THEN 'lock' WHEN {_differ('ssns[ra]', 'ssns[rb]')} THEN 'ssn' ELSE 'dob' END
+  FROM (SELECT *, least(ra, rb) AS lo, greatest(ra, rb) AS hi,
+          ra <> rb AND NOT (since[ra] < level AND since[rb] < level) AND NOT {_differ('ssns[ra]', 'ssns[rb]')} AND NOT {_differ('dobs[ra]', 'dobs[rb]')} AS ok
+        FROM (SELECT st.*, sq.k AS k2, sq.level, st.own[sq.pa] AS ra, st.own[sq.pb] AS rb FROM st JOIN sq ON st.first = sq.first AND st.last = sq.last AND sq.k = st.k + 1) y) w),
+tops AS (SELECT unnest(roots) AS root, unnest(list_transform(own, lambda r: roots[r])) AS top FROM (SELECT * FROM st QUALIFY k = max(k) OVER (PARTITION BY first, last)) f JOIN rt USING (first, last)),
+p AS (SELECT g.*, coalesce(tops.top, g.root) AS top FROM g LEFT JOIN tops ON g.root = tops.root)
+"""
+
+
+@query(ALL_LEVELS + "SELECT top AS root, count(*) AS n_rows FROM p GROUP BY top")
 def greedy_clusters(spark, d):
     known = written(normalize.known(rows_of(spark, d)), "known")
     return linkage.clusters(known).groupBy("root").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -373,7 +410,85 @@ def docid_chunks(spark, d):
     return final(spark, d).select("root", F.posexplode(survivorship.chunks("docids", 200)).alias("piece", "docids"))
 
 
-@query()
+_NEW = PROFILES["new"]
+_NEW_KEYS = "\nUNION ALL ".join(
+    ["SELECT *, 1 AS level, ssn AS key FROM k WHERE ssn <> ''", "SELECT *, 2, dob FROM k WHERE dob <> ''", *(f"SELECT *, {n}, unnest(ids{n}) FROM k" for n, _ in _NEW.id_levels)]
+)
+_FREE_KEY = lambda c: f"coalesce(strftime({sql_date(c)}, '%Y%m%d'), '')"
+_MIDDLE = "(a.mid = '' OR b.mid = '' OR starts_with(a.mid, b.mid) OR starts_with(b.mid, a.mid))"
+# The same walk as in ALL_LEVELS from single rows on, through all levels, with masked numbers and the guard on middle names.
+_NEW_SQL = f"""WITH RECURSIVE z AS (SELECT rec_id AS idx, {sql_name('first_name')} AS first, {sql_name('last_name')} AS last, {sql_name('middle_name')} AS mid, {SSN} AS ssn,
+  {_FREE_KEY('full_date_of_birth')} AS d1, {_FREE_KEY('dobs')} AS d2, {', '.join(f'{sql_tokens(c)} AS ids{n}' for n, c in _NEW.id_levels)} FROM new_records),
+k AS (SELECT *, CASE WHEN d1 <> '' THEN d1 ELSE d2 END AS dob FROM z WHERE first <> '' AND last <> ''),
+e AS ({_NEW_KEYS}),
+pr AS (SELECT DISTINCT a.first, a.last, a.level, a.idx AS xa, b.idx AS xb FROM e a JOIN e b ON a.first = b.first AND a.last = b.last AND a.level = b.level AND a.key = b.key AND a.idx < b.idx
+  AND {_MIDDLE} AND NOT {_differ('a.dob', 'b.dob')} AND (a.level = 1 OR NOT {_differ('a.ssn', 'b.ssn')})),
+rt AS (SELECT first, last, list(idx ORDER BY idx) AS roots, list(ssn ORDER BY idx) AS ssns, list(dob ORDER BY idx) AS dobs FROM k
+  WHERE (first, last) IN (SELECT (first, last) FROM pr) GROUP BY first, last),
+sq AS (SELECT first, last, level, list_position(roots, xa) AS pa, list_position(roots, xb) AS pb, row_number() OVER (PARTITION BY first, last ORDER BY level, xa, xb) AS n FROM pr JOIN rt USING (first, last)),
+st AS (SELECT first, last, CAST(0 AS BIGINT) AS n, CAST(range(1, len(roots) + 1) AS BIGINT[]) AS own, ssns, dobs, list_transform(roots, lambda r: 100) AS since FROM rt
+ UNION ALL SELECT first, last, n2, CASE WHEN ok THEN list_transform(own, lambda r: CASE WHEN r = hi THEN lo ELSE r END) ELSE own END,
+  {_put('ssns', 'lo', "coalesce(nullif(ssns[lo], ''), ssns[hi])")}, {_put('dobs', 'lo', "coalesce(nullif(dobs[lo], ''), dobs[hi])")}, {_put('since', 'lo', 'least(since[lo], since[hi], level)')}
+  FROM (SELECT *, least(ra, rb) AS lo, greatest(ra, rb) AS hi,
+          ra <> rb AND NOT (since[ra] < level AND since[rb] < level) AND NOT {_differ('ssns[ra]', 'ssns[rb]')} AND NOT {_differ('dobs[ra]', 'dobs[rb]')} AS ok
+        FROM (SELECT st.*, sq.n AS n2, sq.level, st.own[sq.pa] AS ra, st.own[sq.pb] AS rb FROM st JOIN sq ON st.first = sq.first AND st.last = sq.last AND sq.n = st.n + 1) y) w),
+tops AS (SELECT unnest(roots) AS idx, unnest(list_transform(own, lambda r: roots[r])) AS top FROM (SELECT * FROM st QUALIFY n = max(n) OVER (PARTITION BY first, last)) f JOIN rt USING (first, last))
+SELECT coalesce(top, k.idx) AS root, count(*) AS n_rows FROM k LEFT JOIN tops ON k.idx = tops.idx GROUP BY 1"""
+
+
+@query(_NEW_SQL)
+def greedy_clusters_new(spark, d):
+    """The persons of profile new: no closed form, masked numbers confirm, middle names guard."""
+    rows = normalize.normalized(spread(table(spark, d, "new_records"), "rec_id"), _NEW)
+    return linkage.clusters(written(normalize.known(rows), "known"), _NEW).groupBy("root").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query(ALL_LEVELS + "SELECT guard, CAST(count(refused) AS BIGINT) AS n FROM (VALUES ('lock'), ('ssn'), ('dob')) v(guard) LEFT JOIN st ON refused = guard GROUP BY guard")
+def union_refusals(spark, d):
+    """Pairs that a level matches and a guard keeps apart, by guard."""
+    return linkage.refusals(written(normalize.known(rows_of(spark, d)), "known"))
+
+
+_KEY_SQL = f"""SELECT rec_id, street AS a0, base AS a_base, unit AS a_unit, {sql_text('city')} AS a1, {sql_text('state_of_residence')} AS a2, {sql_text('province_of_residence')} AS a3,
+ {_ZIP} AS a4, {sql_text('country_of_residence')} AS a5"""
+
+
+@query(_PLAIN + STREETS + _KEY_SQL + " FROM s")
+def address_keys(spark, d):
+    return normalize.with_address_key(vf3(spark, d)).select("rec_id", "a0", "a_base", "a_unit", "a1", "a2", "a3", "a4", "a5")
+
+
+@query(
+    _PLAIN + STREETS + f""", t AS ({_KEY_SQL}, {sql_name('last_name')} AS last FROM s),
+q AS (SELECT *, {', '.join(f'lag({c}) OVER b AS {c}_b' for c in ('rec_id', 'a0', 'a_base', 'a_unit', 'a1', 'a2', 'a3', 'a4', 'a5'))} FROM t WHERE last <> '' WINDOW b AS (PARTITION BY last ORDER BY rec_id))
+SELECT rec_id, rec_id_b AS before, ({' OR '.join(_differ(f'a{i}', f'a{i}_b') for i in range(1, 6))} OR ({_differ('a0', 'a0_b')} AND NOT (a_base <> '' AND a_base = a_base_b AND NOT {_differ('a_unit', 'a_unit_b')}))) AS apart FROM q WHERE rec_id_b IS NOT NULL"""
+)
+def address_conflicts(spark, d):
+    """Each row's address against the one before it of the same last name."""
+    rows = normalize.with_address_key(text.with_names(vf3(spark, d), last="last_name")).where("last <> ''")
+    w, parts = Window.partitionBy("last").orderBy("rec_id"), ("a0", "a_base", "a_unit", "a1", "a2", "a3", "a4", "a5")
+    rows = rows.select("rec_id", *parts, F.lag("rec_id").over(w).alias("before"), *[F.lag(c).over(w).alias(f"{c}_b") for c in parts]).where("before is not null")
+    return rows.select("rec_id", "before", address.conflict({c: F.col(c) for c in parts}, {c: F.col(f"{c}_b") for c in parts}).alias("apart"))
+
+
+_AT = lambda side: [f"{side}.k[{i}]" for i in range(1, 9)]
+_APART = " OR ".join(
+    ["({0} <> '' AND {3} <> '' AND {0} <> {3} AND NOT ({1} <> '' AND {1} = {4} AND NOT {u}))".format(*_AT("a")[:3], *_AT("b")[:3], u=_differ(_AT("a")[2], _AT("b")[2]))]
+    + [_differ(x, y) for x, y in zip(_AT("a")[3:], _AT("b")[3:])]
+)
+# y: distinct address keys of a person in order of the first row; cl: the cluster of each; fc: the fullest cells of each cluster
+_SPLIT = ALL_LEVELS + f""", {STREETS}, q AS (SELECT p.top, s.idx, [s.street, s.base, s.unit, {sql_text('s.city')}, {sql_text('s.state_of_residence')}, {sql_text('s.province_of_residence')},
+   {_ZIP.replace('zip_code', 's.zip_code')}, {sql_text('s.country_of_residence')}] AS k, [{", ".join(sql_stripped('s.' + c) for c in ADDRESS)}] AS raw FROM s JOIN p ON s.idx = p.idx),
+y AS (SELECT top, k, count(*) AS n, min(idx) AS pos, arg_min(raw, idx) AS raw, array_to_string(k, '') <> '' AS filled FROM q GROUP BY top, k),
+lk AS (SELECT a.top, a.pos AS i, b.pos AS j FROM y a JOIN y b ON a.top = b.top AND a.filled AND b.filled AND NOT ({_APART})),
+cc AS (SELECT top, pos AS i, pos AS c FROM y UNION SELECT cc.top, lk.j, cc.c FROM cc JOIN lk ON cc.top = lk.top AND cc.i = lk.i),
+cl AS (SELECT y.*, m.c FROM y JOIN (SELECT top, i, min(c) AS c FROM cc GROUP BY top, i) m ON y.top = m.top AND y.pos = m.i),
+fc AS (SELECT top, c, sum(n) AS n, bool_or(filled) AS filled, {", ".join(f"coalesce(arg_min(raw[{i}], {{'a': -length(raw[{i}]), 'b': pos}}) FILTER (k[{j}] <> ''), '') AS {c}" for i, j, c in zip(range(1, 7), (1, 4, 5, 6, 7, 8), ADDRESS))} FROM cl GROUP BY top, c),
+o AS (SELECT *, row_number() OVER (PARTITION BY top ORDER BY filled DESC, n DESC, c) AS r, array_to_string(list_filter([{", ".join(ADDRESS)}], lambda x: x <> ''), ', ') AS told FROM fc)
+SELECT top AS root, {", ".join(f"max(CASE WHEN r = 1 THEN {c} END) AS {c}" for c in ADDRESS)}, coalesce(string_agg(told, '; ' ORDER BY c) FILTER (r > 1 AND filled), '') AS other_address FROM o GROUP BY top"""
+
+
+@query(_SPLIT)
 def address_split(spark, d):
     return address.addresses(normalize.with_address_key(persons(spark, d)), "root")
 

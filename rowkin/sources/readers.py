@@ -24,13 +24,14 @@ def column_name(header: str) -> str:
     return re.sub(r"[^a-z0-9]+", "_", h).strip("_")
 
 
-def read_csv(spark: SparkSession, path: str, required: tuple[str, ...] = (), keep_literals: bool = False, number: str | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, required: tuple[str, ...] = (), keep_literals: bool = False, number: str | None = None, multi_line: bool = True) -> DataFrame:
     """A CSV file with header as strings; blank headers' blanks are trimmed and missing required columns raise.
 
     ``keep_literals``: 'NA' and its like stay values.  ``number``: name of a column that numbers the rows in file order
     from 0: row numbers within a split plus the offsets of the splits before it, one row per split on the driver's side.
+    Cells may hold line breaks, so a file is one task; ``multi_line`` off splits large files that are known to have none.
     """
-    df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("nullValue", "\u0000").csv(path)
+    df = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').option("nullValue", "\u0000").csv(path)
     df = df.toDF(*[column_name(c) for c in df.columns])
     require(df.columns, required)
     df = df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if keep_literals else F.when(F.col(c).isin(*NA), F.lit("")).otherwise(F.coalesce(F.col(c), F.lit(""))).alias(c) for c in df.columns])

@@ -9,8 +9,15 @@ from pyspark.sql import DataFrame
 EXCEL_ROWS = 1_048_575  # data rows that fit below the header of a sheet
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+BOM = "\ufeff"
+
+
+def write_csv(df: DataFrame, path: str, bom: bool = False) -> None:
+    """CSV files with header, cells as they are (blanks at their ends too); ``bom`` marks each file as UTF-8 for spreadsheet programs."""
+    if bom and df.columns:
+        df = df.withColumnRenamed(df.columns[0], BOM + df.columns[0])
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_tables(tables: dict[str, DataFrame], path: str, form: str = "parquet") -> None:
@@ -30,7 +37,7 @@ def write_workbook(tables: dict[str, DataFrame], path: str) -> None:
         for name, df in tables.items():
             if df.limit(EXCEL_ROWS + 1).count() > EXCEL_ROWS:
                 out = f"{os.path.splitext(path)[0]} - {name}"
-                write_csv(df, out)
+                write_csv(df, out, bom=True)
                 pd.DataFrame({"note": [f"too many rows for a sheet, see {out}"]}).to_excel(book, sheet_name=name[:31], index=False)
             else:
                 df.toPandas().to_excel(book, sheet_name=name[:31], index=False)

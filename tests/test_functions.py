@@ -40,6 +40,9 @@ def test_tokens(spark):
     "cell,key",
     [
         ("1990-01-01", "19900101"), ("Jan 5, 1985", "19850105"), ("1985-1-5", "19850105"), ("01-05-1985", "19850105"), ("5-Jan-1985", "19850105"),
+        ("1985-01-05 00:00:00", "19850105"), ("1985-01-05T00:00:00", "19850105"), ("1985-01-05T23:59:59.123Z", "19850105"), ("1/5/1985 12:00 AM", "19850105"), ("January 5 1985", "19850105"),
+        ("5 January 1985", "19850105"), ("Jan. 5, 1985", "19850105"), ("01.05.1985", "19850105"), ("25.12.1985", "19851225"), ("25-12-1985", "19851225"), ("1/5/85", "19850105"), ("5-Jan-85", "19850105"),
+        ("1/5/30", "20300105"), ("Sept 5th, 1985", "19850905"), ("Sat, Jan 5 1985", "19850105"), ("1985 jan 5", "19850105"), ("Jan 5", ""), ("Janet 5 1985", ""), ("13/13/1985", ""), ("99.99.1985", ""),
         ("1/5/1985", "19850105"), ("25/12/1985", "19851225"), ("20037", "19541109"), ("20037.5", "19541109"), ("1985", "19050607"), ("366", ""), ("367", "19010101"),
         ("XX/XX/1980", ""), ("00/00/0000", ""), ("", ""), (None, ""), ("1900-01-01", ""), ("02/30/1990", ""), ("10:30", ""), ("today", ""), ("999999", ""),
     ],

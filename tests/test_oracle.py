@@ -1,8 +1,8 @@
 import pytest
 
-from rowkin.plans import hot_queries, record_queries
+from rowkin.plans import hot_queries, record_queries, table_queries
 
-BOTH = [(m, k) for m in (record_queries, hot_queries) for k in m.QUERIES if k in m.SQL]
+BOTH = [(m, k) for m in (record_queries, hot_queries, table_queries) for k in m.QUERIES if k in m.SQL]
 
 
 @pytest.mark.parametrize("module,name", BOTH, ids=[k for _, k in BOTH])

@@ -32,9 +32,29 @@ def test_sinks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "p/t")).count() == 1
     writers.write_tables({"t": df}, str(tmp_path / "c"), "csv")
     assert readers.read_csv(spark, str(tmp_path / "c/t")).first()["s"] == 'a "b"'
+    writers.write_csv(spark.createDataFrame([(" a ", "")], "first_name string, last_name string"), str(tmp_path / "b"), bom=True)
+    assert next((tmp_path / "b").glob("part-*.csv")).read_bytes().startswith(b"\xef\xbb\xbf")
+    assert [tuple(r) for r in readers.read_csv(spark, str(tmp_path / "b"), ("first_name",)).collect()] == [(" a ", "")]
     assert writers.convert_to_xlsb("a", "b") is False
 
 
+def test_shared_folder_is_demanded_off_one_machine(spark, monkeypatch):
+    from rowkin import workspace
+
+    assert workspace.shared_dir(spark)
+
+    class Elsewhere:
+        master, applicationId = "spark://host:7077", "x"
+        getConf = staticmethod(lambda: type("C", (), {"get": staticmethod(lambda *a: None)}))
+
+    session = type("S", (), {"sparkContext": Elsewhere, "conf": type("C", (), {"get": staticmethod(lambda *a: None)})})
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace.shared_dir(session)
+    big = spark.createDataFrame([("x" * 1000,)] * 5, "s string")
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in plan(workspace.small(big, 5)) and "broadcast" not in plan(workspace.small(big, 4)) and "broadcast" not in plan(workspace.small(big, 5, 4000))
+
+
 def test_streams_give_the_batch_rows(spark, sf, tmp_path):
     source = spark.read.parquet(f"{sf}/vf3_records.parquet")
     stream = spark.readStream.schema(source.schema).option("pathGlobFilter", "vf3_records.parquet").parquet(sf)
