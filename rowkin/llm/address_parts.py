@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import lru_cache
 from typing import NamedTuple
 
 # Postal abbreviations of street types, directions, unit words and parts of city names.
@@ -81,14 +82,20 @@ class Place(NamedTuple):
     zip: str
 
 
+_SPACES = {c: " " for c in range(128) if chr(c).isspace()}
+
+
 def folded(text: str | None) -> str:
     """Upper case ASCII letters of a cell; accents and unusual blanks gone."""
     if not isinstance(text, str):
         return ""
+    if text.isascii():
+        return text.translate(_SPACES).upper()
     text = unicodedata.normalize("NFKD", text).upper().replace("Ł", "L").replace("Ø", "O").replace("ß", "SS")
     return "".join(" " if c.isspace() or unicodedata.category(c) in ("Cf", "Zs") else c for c in text if not unicodedata.combining(c))
 
 
+@lru_cache(50_000)
 def zip5(text: str | None) -> str:
     text = folded(text)
     if m := re.fullmatch(r"\s*([A-Z]\d[A-Z])[ -]*(\d[A-Z]\d)\s*", text):
@@ -99,6 +106,7 @@ def zip5(text: str | None) -> str:
     return digits[:5] if len(digits) in (5, 9) else digits.zfill(5) if len(digits) < 5 else digits[:-4].zfill(5) if len(digits) < 9 else digits[:5]
 
 
+@lru_cache(50_000)
 def city_words(text: str | None) -> tuple[str, ...]:
     words = re.findall(r"[A-Z0-9']+", folded(text).replace(".", " "))
     if "".join(words) in NO_PLACE:

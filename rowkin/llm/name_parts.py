@@ -22,9 +22,14 @@ class Name(NamedTuple):
     suffix: str
 
 
+_CONTROLS = {c: " " for c in [*range(32), 127]}
+
+
 def folded(cell: str | None) -> str:
     if not isinstance(cell, str):
         return ""
+    if cell.isascii():
+        return cell.lower().translate(_CONTROLS).strip()
     text = unicodedata.normalize("NFKD", cell.lower())
     text = "".join(" " if unicodedata.category(c) in ("Cf", "Zs", "Cc") else c for c in text if not unicodedata.combining(c))
     return text.translate(PLAIN).strip()
