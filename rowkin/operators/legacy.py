@@ -22,6 +22,9 @@ def normalized(df: DataFrame, idx: str = "rec_id") -> DataFrame:
     df = df.withColumn("idx", F.col(idx).cast("long"))
     df = text.with_names(df, first="first_name", last="last_name", mid="middle_name", suf="suffix")
     df = dates.with_dob(df, "full_date_of_birth", "dob", False).withColumn("ssn", text.norm_ssn("social_security_number"))
+    # a merged row's cell may hold several dates
+    each = F.transform(F.split(F.coalesce("full_date_of_birth", F.lit("")), ";"), lambda c: dates.dob_key(c, False))
+    df = df.withColumn("dob_set", F.array_distinct(F.filter(each, lambda k: k != "")))
     df = df.withColumns({f"ids{n}": text.id_tokens(c) for n, c in IDS.items()})
     df = street.with_street(df, "residential_address", "addr", "base", "unit")
     cells = {"city_n": "city", "state_n": "state_of_residence", "zip_n": "zip_code", "province_n": "province_of_residence"}
@@ -191,13 +194,14 @@ def bridge(rows: DataFrame) -> DataFrame:
     """(idx, target, tier, n_shared, decided): the named row that each fully unnamed row belongs to.
 
     Tier 1 are named rows of the same number, tier 2 (only without any of tier 1) those that share an employee, license,
-    passport or e-mail token; unequal numbers or dates exclude.  Most shared ID columns win, then most filled
+    passport or e-mail token; unequal numbers, or dates of which none is the same, exclude.  Most shared ID columns win, then most filled
     evidence fields (``decided`` = 'evidence'); a row still tied has target null and decided 'review'.
     """
     ids = [f"ids{n}" for n in BRIDGE]
-    filled = (F.col("ssn") != "").cast("int") + (F.col("dob") != "").cast("int") + sum((F.size(c) > 0).cast("int") for c in ids)
-    slim = rows.select("idx", "first", "last", "ssn", "dob", *ids, filled.alias("evidence"))
-    lost = slim.where("first = '' and last = ''").select(*[F.col(c).alias(f"u_{c}") for c in ("idx", "ssn", "dob", *ids)])
+    filled = (F.col("ssn") != "").cast("int") + (F.size("dob_set") > 0).cast("int") + sum((F.size(c) > 0).cast("int") for c in ids)
+    slim = rows.select("idx", "first", "last", "ssn", "dob_set", *ids, filled.alias("evidence"))
+    slim = written(slim, "bridge-rows")
+    lost = slim.where("first = '' and last = ''").select(*[F.col(c).alias(f"u_{c}") for c in ("idx", "ssn", "dob_set", *ids)])
     named = slim.where("first <> '' or last <> ''").drop("first", "last")
     tokens = F.array(*[F.struct(F.lit(n).alias("k"), F.col(c).alias("t")) for n, c in zip(BRIDGE, ids)])
     flat = lambda df, idx, t: df.select(idx, F.explode(t).alias("x")).select(idx, "x.k", F.explode("x.t").alias("t"))
@@ -205,7 +209,8 @@ def bridge(rows: DataFrame) -> DataFrame:
     by_ssn = lost.where("u_ssn <> ''").select("u_idx", F.col("u_ssn").alias("ssn")).join(named.where("ssn <> ''").select("ssn", "idx"), "ssn").select("u_idx", "idx", F.lit(1).alias("tier"))
     by_id = flat(lost, "u_idx", lost_tokens).join(flat(named, "idx", tokens), ["k", "t"]).select("u_idx", "idx", F.lit(2).alias("tier"))
     pool = by_ssn.unionByName(by_id.distinct()).join(lost, "u_idx").join(named, "idx")
-    pool = pool.where(~text.conflict(F.col("u_dob"), F.col("dob")) & ~text.conflict(F.col("u_ssn"), F.col("ssn")))
+    apart = (F.size("u_dob_set") > 0) & (F.size("dob_set") > 0) & ~F.arrays_overlap("u_dob_set", "dob_set")
+    pool = pool.where(~apart & ~text.conflict(F.col("u_ssn"), F.col("ssn")))
     pool = pool.withColumn("n_shared", sum((F.arrays_overlap(c, f"u_{c}")).cast("int") for c in ids))
     best = pool.groupBy("u_idx").agg(F.min("tier").alias("tier"))
     pool = pool.join(best, ["u_idx", "tier"])

@@ -83,7 +83,10 @@ def resolve(df: DataFrame, profile: str = "vf3", idx: str = "rec_id") -> Resolve
         "unique_id", "rows_merged", "names_differ", "tie_break",
     ]
     merged = written(merged.select(*columns), "merged")
-    ambiguous = review.join(merged.withColumnRenamed("root", "final"), "final").select("first_name", "last_name", "suffix", "docids", "n_candidates", "evidence", "rows_each")
+    said = F.format_string("no identifier of its own; %d rows of this name fit alike (%d identifiers, %d source rows each), so it was left alone", "n_candidates", "evidence", "rows_each")
+    ambiguous = review.join(merged.withColumnRenamed("root", "final"), "final")
+    ambiguous = ambiguous.select("first_name", "last_name", "suffix", "docids", said.alias("remarks"), "n_candidates", "evidence", "rows_each")
+    merged = with_docid_columns(merged)
     return Resolved(
         merged, normalize.unknown(rows).select(*raw.columns, "unknown_field"), reports.junk_ssn(raw, idx),
         reports.junk_dob(raw, idx, ("full_date_of_birth", "dobs") if rules.dob_alt else ("full_date_of_birth",)), reports.large_groups(merged), ambiguous,
@@ -131,15 +134,18 @@ def resolve_old(df: DataFrame, bridged: bool = False, idx: str = "rec_id") -> tu
     out = legacy.backfilled(_old_rows(moved, order, folded))
     tie = told.where("decided = 'evidence'").select(F.col("target").alias("root")).distinct().withColumn("tie_break", F.lit(True))
     out = out.join(tie, "root", "left").withColumn("tie_break", F.coalesce("tie_break", F.lit(False)))
-    review = told.where("decided = 'review'").join(merged, F.col("idx") == F.col("root")).select(F.substring("docids", 1, 200).alias("docids"), "tier", "n_shared")
+    by = F.when(F.col("tier") == 1, F.lit("its number")).otherwise(F.concat(F.col("n_shared"), F.lit(" of its identifiers")))
+    said = F.concat(F.lit("no name; several named rows share "), by, F.lit(" and tell equally much, so it was left alone"))
+    review = told.where("decided = 'review'").join(merged, F.col("idx") == F.col("root")).select(F.substring("docids", 1, 200).alias("docids"), said.alias("remarks"), "tier", "n_shared")
     return out, review
 
 
 def with_docid_columns(merged: DataFrame, most: int = 20_000) -> DataFrame:
-    """``merged`` with long docids cells spread over docids, docids_2, ...; one action finds how many are needed."""
-    split = merged.withColumn("_c", survivorship.chunks("docids", most))
+    """``merged`` with long docids cells spread over docids, docids_2, ... beside each other; one action finds how many are needed."""
+    split = merged.withColumn("_c", F.when(F.length("docids") > most, survivorship.chunks("docids", most)).otherwise(F.array("docids")))
     width = split.agg(F.max(F.size("_c"))).first()[0] or 1
-    return split.withColumns({"docids" if k == 0 else f"docids_{k + 1}": F.coalesce(F.get("_c", k), F.lit("")) for k in range(width)}).drop("_c")
+    cells = [F.coalesce(F.get("_c", k), F.lit("")).alias("docids" if k == 0 else f"docids_{k + 1}") for k in range(width)]
+    return split.select(*[x for c in merged.columns for x in (cells if c == "docids" else [F.col(c)])])
 
 
 def final_rows(merged: DataFrame) -> DataFrame:
