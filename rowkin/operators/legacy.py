@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -108,10 +109,11 @@ def links(rows: DataFrame, level: int) -> DataFrame:
 PLACE_SETS = ["base", "city_n", "state_n", "zip5", "province_n"]
 
 
-def guarded(rows: list[tuple[int, int]], facts: dict[int, dict], near: dict[int, dict[int, set[int]]]) -> dict[int, int]:
+def guarded(rows: list[tuple[int, int]], facts: dict[int, dict], near: dict[int, dict[int, set[int]]], many: dict[int, set[int]] | None = None) -> dict[int, int]:
     """Root of every row of one block of work.
 
-    ``rows``: (idx, class).  ``facts``: class -> ssn, dob and place fields.  ``near``: level -> class -> classes that it
+    ``rows``: (idx, class), or the first row of each class alone, with ``many``: level -> classes of several rows that the level
+    unites (rows of a class have the same partners, so they always end together).  ``facts``: class -> ssn, dob and place fields.  ``near``: level -> class -> classes that it
     matches.  Pairs come in ascending order within a level; two groups formed at earlier levels stay apart, as do groups of
     different numbers or dates, and at level 8 groups with nothing in common in a place field that both know.
     """
@@ -141,7 +143,7 @@ def guarded(rows: list[tuple[int, int]], facts: dict[int, dict], near: dict[int,
                 if hi in locked:
                     locked.add(lo)
                 touched.add(lo)
-        locked |= {find(x) for x in touched}
+        locked |= {find(x) for x in (*touched, *(many or {}).get(level, ()))}
     return {i: find(i) for i, _ in rows}
 
 
@@ -149,7 +151,7 @@ def clusters(rows: DataFrame) -> DataFrame:
     """(idx, root) of every row under all eight levels.
 
     Matched classes of like rows are labelled by what they are linked with; nothing beyond a label can ever unite, so
-    each label is one block of work.
+    each label is one block of work, of classes, not of rows.
     """
     used = ["ssn", "dob", *NAME, *PLACE]
     ids = [f"ids{n}" for n in IDS]
@@ -167,27 +169,30 @@ def clusters(rows: DataFrame) -> DataFrame:
     of_class = classes.join(label, F.col("c") == F.col("node"))
     facts = of_class.groupBy("label").agg(F.collect_list(F.struct("c", "ssn", "dob", *PLACE_SETS)).alias("facts"))
     edges = found.join(label, F.col("x") == F.col("node")).groupBy("label").agg(F.collect_list(F.struct("level", "x", "y")).alias("edges"))
-    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in (*used, *ids)]
-    condition = same[0]
-    for s in same[1:]:
-        condition = condition & s
-    mine = code.alias("l").join(of_class.alias("r"), condition).select("l.idx", "r.c", "r.label")
-    blocks = mine.groupBy("label").agg(F.collect_list(F.struct("idx", "c")).alias("rows")).join(facts, "label").join(edges, "label")
+    blocks = facts.join(edges, "label")
 
     def run(batches):
         for pdf in batches:
             out = []
-            for own, known, pairs in zip(pdf["rows"], pdf["facts"], pdf["edges"]):
+            for known, pairs in zip(pdf["facts"], pdf["edges"]):
                 near: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
+                many = defaultdict(set)
                 for e in pairs:
-                    near[e["level"]][e["x"]].add(e["y"])
-                    near[e["level"]][e["y"]].add(e["x"])
+                    if e["x"] == e["y"]:
+                        many[e["level"]].add(e["x"])
+                        near[e["level"]]  # the level counts, whoever else it matches
+                    else:
+                        near[e["level"]][e["x"]].add(e["y"])
+                        near[e["level"]][e["y"]].add(e["x"])
                 known = {f["c"]: {k: f[k] for k in ("ssn", "dob", *PLACE_SETS)} for f in known}
-                out += [(i, r) for i, r in guarded([(r["idx"], r["c"]) for r in own], known, near).items()]
-            yield pd.DataFrame(out, columns=["i", "root"])
+                out += guarded([(c, c) for c in known], known, near, many).items()
+            yield pd.DataFrame(out, columns=["c", "root"])
 
-    done = blocks.select("rows", "facts", "edges").mapInPandas(run, "i long, root long")
-    return code.select("idx").join(done, F.col("idx") == F.col("i"), "left").select("idx", F.coalesce("root", "idx").alias("root"))
+    done = blocks.select("facts", "edges").mapInPandas(run, "c long, root long")
+    of_row = classes.join(done, "c").select(*used, *ids, "root")  # rows alike in all, but without any key, stay apart
+    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in (*used, *ids)]
+    met = code.alias("l").join(of_row.alias("r"), reduce(lambda x, y: x & y, same), "left")
+    return met.select("l.idx", F.coalesce("r.root", "l.idx").alias("root"))
 
 
 def bridge(rows: DataFrame) -> DataFrame:
