@@ -81,6 +81,15 @@ def rows(spark, *given):
     return spark.createDataFrame(out, SCHEMA)
 
 
+def test_names_in_any_order():
+    m = name_parts.Matcher([])
+    name = lambda *parts: name_parts.Name(*[tuple(x.split()) for x in parts], "")
+    assert m.names(name("anna", "maria", "lopez"), name("lopez", "anna", "maria")) == (3, 3)
+    assert m.names(name("anna", "maria", "lopez"), name("maria", "lopes", "anna")) == (2, 2)
+    assert min(m.names(name("anna", "maria", "lopez"), name("lopez", "clara", "maria"))) < 2
+    assert min(m.names(name("anna", "", "lopez"), name("clara", "", "lopez"))) < 2
+
+
 def test_variants(spark):
     forms = spark.createDataFrame([("William", "Bill"), ("William", "Will"), (None, "x")], "given_name string, short_form string")
     dob, mail = {"full_date_of_birth": "01/02/1980"}, {"email_address_personal": "a@b.c"}
