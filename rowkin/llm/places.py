@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..workspace import small, spread, written
+from ..workspace import shuffled, small, spread, written
 from .address_parts import ORDINALS, STREET_WORDS, TYPES, parsed
 from .components import components
 from .name_parts import edits
@@ -39,6 +39,7 @@ ROWS = 2
 Q = 3
 SHORT = 8  # words up to this length also meet by one edit
 ZIPS = 200_000  # zips up to this number are broadcast
+CITY_KEYS = 200_000  # keys of cities up to this number are broadcast
 MOST_COST = 0.3  # cost per word up to which two spellings are one street
 CELLS = ["residential_address", "city", "zip_code"]
 
@@ -202,7 +203,7 @@ def _met(spelled: DataFrame, group: str, text: str, own: str) -> DataFrame:
             yield pd.DataFrame({"id": pdf[own].to_numpy()[at], "key": key})
 
     keyed = spread(spelled.select(own, group, text), own).mapInPandas(run, "id long, key long")
-    return keyed.select("key", F.col("id").alias("a")).join(keyed.select("key", F.col("id").alias("b")), "key").where("a < b").select("a", "b").distinct()
+    return keyed.select("key", F.col("id").alias("a")).join(shuffled(keyed.select("key", F.col("id").alias("b"))), "key").where("a < b").select("a", "b").distinct()
 
 
 def _verified(met: DataFrame, spelled: DataFrame, text: str, own: str, test) -> DataFrame:
@@ -213,7 +214,8 @@ def _verified(met: DataFrame, spelled: DataFrame, text: str, own: str, test) ->
             keep = [test(x, y) for x, y in zip(pdf["x"], pdf["y"])]
             yield pdf[["a", "b"]][pd.Series(keep, index=pdf.index, dtype=bool)]
 
-    both = met.join(spelled.select(F.col(own).alias("a"), F.col(text).alias("x")), "a").join(spelled.select(F.col(own).alias("b"), F.col(text).alias("y")), "b")
+    side = lambda x, t: shuffled(spelled.select(F.col(own).alias(x), F.col(text).alias(t)))
+    both = met.join(side("a", "x"), "a").join(side("b", "y"), "b")
     return both.mapInPandas(run, "a long, b long")
 
 
@@ -243,7 +245,7 @@ def _tested(met: DataFrame, test) -> DataFrame:
 
 
 def _several(towns: DataFrame, *keys: str) -> DataFrame:
-    return towns.join(towns.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), list(keys), "left_semi")
+    return towns.join(shuffled(towns.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")), list(keys), "left_semi")
 
 
 def town_classes(towns: DataFrame) -> DataFrame:
@@ -254,29 +256,30 @@ def town_classes(towns: DataFrame) -> DataFrame:
     only one of its zip.  With several to choose from it stays apart; without any it meets only others without zip.
     Only towns of one house that share a key meet (of the city, or the zip less one sign), so a house in many towns makes few pairs.
     """
-    keys = written(_city_keys(towns), "city-keys")
+    keys = small(written(_city_keys(towns), "city-keys"), CITY_KEYS)
     full, bare, coded = towns.where("city <> '' and zip <> ''"), towns.where("city <> '' and zip = ''"), towns.where("city = '' and zip <> ''")
     side = lambda df, x, *on: df.select(*on, F.col("t").alias(x), F.col("city").alias("c" + x), F.col("zip").alias("z" + x))
-    pairs = lambda df, *on: side(df, "a", *on).join(side(df, "b", *on), list(on)).where("a < b").select("a", "b", "ca", "za", "cb", "zb").distinct()
+    pairs = lambda df, *on: side(df, "a", *on).join(shuffled(side(df, "b", *on)), list(on)).where("a < b").select("a", "b", "ca", "za", "cb", "zb").distinct()
     in_zip = pairs(_several(full, "house", "zip").join(keys, "city"), "house", "zip", "key")
     less = F.transform(F.sequence(F.lit(1), F.length("zip")), lambda i: F.concat(F.expr("zip").substr(F.lit(1), i - 1), F.expr("zip").substr(i + 1, F.lit(99))))
     near_zip = pairs(_several(full, "house").withColumn("k", F.explode(F.array_union(F.array("zip"), less))), "house", "k").where("za <> zb")
     of_bare = bare.select("house").distinct()
     asked = side(bare.join(keys, "city"), "a", "house", "key")
-    held = side(towns.where("city <> ''").join(of_bare, "house", "left_semi").join(keys, "city"), "b", "house", "key")
-    named = asked.join(held, ["house", "key"]).where("a <> b").select("a", "b", "ca", "za", "cb", "zb").distinct()
-    named = written(_tested(named, lambda ca, za, cb, zb: same_city(ca, cb)).join(towns.select(F.col("t").alias("b"), (F.col("zip") != "").alias("full")), "b"), "named-towns")
+    held = side(towns.where("city <> ''").join(shuffled(of_bare), "house", "left_semi").join(keys, "city"), "b", "house", "key")
+    named = asked.join(shuffled(held), ["house", "key"]).where("a <> b").select("a", "b", "ca", "za", "cb", "zb").distinct()
+    has_zip = shuffled(towns.select(F.col("t").alias("b"), (F.col("zip") != "").alias("full")))
+    named = written(_tested(named, lambda ca, za, cb, zb: same_city(ca, cb)).join(has_zip, "b"), "named-towns")
     known = named.where("full").select(F.col("a").alias("p"), F.col("b").alias("t"))
     tied = known.select(F.col("p").alias("t")).distinct()
     apart = named.where("not full and a < b").select("a", "b")
     for x in ("a", "b"):
-        apart = apart.join(tied.withColumnRenamed("t", x), x, "left_anti")
+        apart = apart.join(shuffled(tied.withColumnRenamed("t", x)), x, "left_anti")
     one = _tested(in_zip, lambda ca, za, cb, zb: like_city(ca, cb)).unionByName(_tested(near_zip, lambda ca, za, cb, zb: same_zip(za, zb) and same_city(ca, cb)))
     classes = components(one.unionByName(apart.select("a", "b")), "a", "b").select(F.col("rec_id").alias("t"), "group_id")
-    own = written(towns.join(classes, "t", "left").select("house", "city", "zip", "t", F.coalesce("group_id", "t").alias("town")), "town-classes")
-    zoned = coded.select("house", "zip", F.col("t").alias("p")).join(own.where("city <> '' and zip <> ''").select("house", "zip", "t"), ["house", "zip"]).select("p", "t")
-    only = known.unionByName(zoned).join(own.select("t", "town"), "t").groupBy("p").agg(F.min("town").alias("lo"), F.max("town").alias("hi")).where("lo = hi")
-    return own.join(only.select(F.col("p").alias("t"), "lo"), "t", "left").select("house", "city", "zip", F.coalesce("lo", "town").alias("town"))
+    own = written(towns.join(shuffled(classes), "t", "left").select("house", "city", "zip", "t", F.coalesce("group_id", "t").alias("town")), "town-classes")
+    zoned = coded.select("house", "zip", F.col("t").alias("p")).join(shuffled(own.where("city <> '' and zip <> ''").select("house", "zip", "t")), ["house", "zip"]).select("p", "t")
+    only = known.unionByName(zoned).join(shuffled(own.select("t", "town")), "t").groupBy("p").agg(F.min("town").alias("lo"), F.max("town").alias("hi")).where("lo = hi")
+    return own.join(shuffled(only.select(F.col("p").alias("t"), "lo")), "t", "left").select("house", "city", "zip", F.coalesce("lo", "town").alias("town"))
 
 
 def _filled(kinds: DataFrame, part: str, beside: str) -> DataFrame:
@@ -313,19 +316,19 @@ def same_places(rows: DataFrame) -> DataFrame:
     spelled = written(cells.groupBy("number", "street").agg(F.min("rec_id").alias("s")), "spellings")
     links = written(_verified(_met(spelled, "number", "street", "s"), spelled, "street", "s", same_street), "streets")
     street = components(links, "a", "b").select(F.col("rec_id").alias("s"), "group_id")
-    houses = spelled.join(street, "s", "left").select("number", "street", F.coalesce("group_id", "s").alias("house"))
-    housed = written(cells.join(houses, ["number", "street"]).select("rec_id", "house", *PARTS), "housed")
+    houses = spelled.join(shuffled(street), "s", "left").select("number", "street", F.coalesce("group_id", "s").alias("house"))
+    housed = written(cells.join(shuffled(houses), ["number", "street"]).select("rec_id", "house", *PARTS), "housed")
     # from here on distinct kinds of records only, so a house with many rows is not a large group
     kinds = written(housed.groupBy("house", *PARTS).agg(F.min("rec_id").alias("rec")), "kinds")
     towns = town_classes(written(kinds.groupBy("house", "city", "zip").agg(F.min("rec").alias("t")), "towns"))
-    told = kinds.join(towns, ["house", "city", "zip"]).select("rec", "town", "direction", "type", "unit")
+    told = kinds.join(shuffled(towns), ["house", "city", "zip"]).select("rec", "town", "direction", "type", "unit")
     told = _filled(_filled(told, "direction", "type"), "type", "direction")
     building, unit = Window.partitionBy("town", "direction", "type"), F.nullif(F.col("unit"), F.lit(""))
     told = told.withColumns({"_lo": F.min(unit).over(building), "_hi": F.max(unit).over(building)})
     told = told.withColumn("unit", F.when((F.col("unit") == "") & (F.col("_lo") == F.col("_hi")), F.col("_lo")).otherwise(F.col("unit")))
     told = told.select("rec", F.min("rec").over(Window.partitionBy("town", "direction", "type", "unit")).alias("place_id"))
-    placed = written(kinds.join(told, "rec").drop("rec"), "placed")
-    return housed.join(placed, ["house", *PARTS]).select("rec_id", "place_id")
+    placed = written(kinds.join(shuffled(told), "rec").drop("rec"), "placed")
+    return housed.join(shuffled(placed), ["house", *PARTS]).select("rec_id", "place_id")
 
 
 def variant_addresses(rows: DataFrame) -> DataFrame:
@@ -334,5 +337,5 @@ def variant_addresses(rows: DataFrame) -> DataFrame:
     Null is ''; cells that name no house number and street, and null ids, are no case; repeated rows pair with every other spelling; very
     long cells are read whole; empty tables give no row; other columns are ignored.
     """
-    named = same_places(rows).join(rows.select("rec_id", *CELLS), "rec_id")
+    named = same_places(rows).join(shuffled(rows.select("rec_id", *CELLS)), "rec_id")
     return same_group_pairs(named, "place_id", CELLS)

@@ -74,10 +74,18 @@ SMALL_BYTES = 64_000_000
 
 
 def small(df: DataFrame, max_rows: int, max_bytes: int = SMALL_BYTES) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``max_rows`` rows and ``max_bytes`` bytes of text, else as it is (Spark then shuffles)."""
+    """``df`` with a broadcast hint if it has at most ``max_rows`` rows and ``max_bytes`` bytes of text, else one that makes Spark shuffle."""
     size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))) if df.columns else F.lit(0)
     n, total = df.limit(max_rows + 1).agg(F.count(F.lit(1)), size).first()
-    return F.broadcast(df) if n <= max_rows and (total or 0) <= max_bytes else df
+    return F.broadcast(df) if n <= max_rows and (total or 0) <= max_bytes else shuffled(df)
+
+
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that Spark must not broadcast by its own estimate.
+
+    That estimate leaves out the rows that Python or ``explode`` adds, and takes a file's compressed bytes for its size in memory.
+    """
+    return df.hint("merge")
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

@@ -176,6 +176,22 @@ def test_many_kinds_of_one_house(spark):
     assert places.same_places(df).count() == 60_000
 
 
+def test_no_join_is_broadcast_by_an_estimate(spark, monkeypatch):
+    """Of the 51 keys a spelling, Spark expects less than the spellings' own bytes: broadcast, they filled the driver."""
+    plans, kept = {}, places.written
+    planned = lambda df: df._jdf.queryExecution().sparkPlan().toString()
+    monkeypatch.setattr(places, "written", lambda df, label: (plans.update({label: planned(df)}), kept(df, label))[1])
+    for most in ("ZIPS", "CITY_KEYS"):  # what is counted first may be broadcast; here nothing is few enough
+        monkeypatch.setattr(places, most, 0, raising=False)
+    given = [("4 Oak St", "Corvale", "64218"), ("4 Oak Street", "corvale", "64218"), ("9 Elm St", "Corvale", ""), ("9 Elm St", "CORVALE", "64218"), ("9 Elm", "", "64218")]
+    df = spark.createDataFrame([(i, *g) for i, g in enumerate(given, 1)], "rec_id long, residential_address string, city string, zip_code string")
+    out = places.variant_addresses(df)
+    plans["out"] = planned(out)
+    assert {"streets", "named-towns", "town-classes", "placed", "out"} <= set(plans)
+    assert not [label for label, plan in plans.items() if "Broadcast" in plan]
+    assert sorted(map(tuple, out.collect())) == [(1, 2), (3, 4), (3, 5), (4, 5)]
+
+
 def meets(street):
     return {int(x) for x in places.Banding().bands([street])[0]} | places.short_keys(street)
 
